@@ -19,6 +19,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(near_duplicates(documents(spark, sf_dir)))
 
 
+def op10_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_archives, write_archives
+
+    return read_archives(*write_archives(documents(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
