@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(documents(spark, sf_dir)).drop("spans")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
