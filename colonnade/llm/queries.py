@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents
 
 
+def fold(of: int, spared: int) -> Column:
+    """True for rows held out of learning."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == spared, F.lit(True))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    found = classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), "quality", ~fold(5, 0))
+    return found.select("doc_id", fold(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan
 
     return scan(documents(spark, sf_dir)).drop("spans")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import classify
+
+    found = classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), "toxic", ~fold(3, 1))
+    return found.select("doc_id", fold(3, 1).alias("held_out"), "score", "predicted")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 

@@ -17,6 +17,7 @@ the share of label 1 (0 with no labels at all).
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -79,8 +80,9 @@ def kernel(a: dict[int, float], b: dict[int, float]) -> float:
 class KernelModel:
     landmarks: list[bytes] = field(default_factory=list)
     span: int = 8
-    decay: float = 0.75
-    least: float = 0.2  # of a landmark's own kernel: below it a string counts as unlike the landmark
+    decay: float = 0.85
+    power: int = 2  # of the normalised kernel, which stays a kernel and tells near from far more sharply
+    least: float = 0.45  # of a landmark's own kernel: below it a string counts as unlike the landmark
     nystrom: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     curve: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -93,8 +95,8 @@ class KernelModel:
     def __getstate__(self):
         return self.__dict__ | {"_known": set(), "_near": {}, "_table": None}
 
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row of each subsequence code, the landmarks' weights by row, the landmarks' own kernels."""
+    def table(self) -> tuple[np.ndarray, ...]:
+        """Row of each subsequence code, the landmarks' weights by row, the landmarks' own kernels, the best relative weight by row."""
         if self._table is None:
             each = [subsequences(w, self.span, self.decay) for w in self.landmarks]
             codes = sorted({c for x in each for c in x})
@@ -104,12 +106,13 @@ class KernelModel:
             for j, x in enumerate(each):
                 for c, w in x.items():
                     weight[row[c], j] = w
-            self._table = (row, weight, np.array([kernel(x, x) for x in each], np.float32))
+            own = np.array([kernel(x, x) for x in each], np.float32)
+            self._table = (row, weight, own, (weight / own).max(axis=1))
         return self._table
 
     def learn_strings(self, words: set[bytes]) -> None:
         """Judge strings not seen yet; _near holds the vector of each one that resembles a landmark."""
-        row, weight, own = self.table()
+        row, weight, own, best = self.table()
         new = [w for w in words - self._known if len(w) >= 3]
         self._known |= words
         by_length: dict[int, list[bytes]] = {}
@@ -122,8 +125,7 @@ class KernelModel:
                 part = group[lo : lo + 2048]
                 c = coded(part)
                 rows = row[c[:, at[:, 0]] * 1024 + c[:, at[:, 1]] * 32 + c[:, at[:, 2]]]
-                # shares that could reach `least` of the smallest landmark at all
-                some = np.flatnonzero((rows > 0) @ decay >= self.least * own.min() / weight.max())
+                some = np.flatnonzero(best[rows] @ decay >= self.least)  # no other can reach it
                 if not len(some):
                     continue
                 i, t = np.nonzero(rows[some])
@@ -133,7 +135,7 @@ class KernelModel:
                 for j in np.flatnonzero((k >= self.least * own).any(axis=1)).tolist():
                     word = part[some[j]]
                     mine = subsequences(word, self.span, self.decay)
-                    self._near[word] = np.where(k[j] >= self.least * own, k[j] / np.sqrt(own * kernel(mine, mine)), 0)
+                    self._near[word] = np.where(k[j] >= self.least * own, (k[j] / np.sqrt(own * kernel(mine, mine))) ** self.power, 0)
 
     def features(self, sentences: list[list[bytes]]) -> np.ndarray:
         """Best kernel value of each sentence with each landmark."""
@@ -158,7 +160,7 @@ class KernelModel:
         out = np.full(len(texts), self.decide(np.zeros((1, len(self.landmarks))))[0])
         suspects = [i for i, words in enumerate(each) if not near.keys().isdisjoint(words)]
         if suspects:
-            cut = [(i, strings(s)) for i in suspects for s in [*SENTENCE.split(texts[i]), texts[i]]]
+            cut = [(i, strings(s)) for i in suspects for s in SENTENCE.split(texts[i])]
             self.learn_strings({w for _, s in cut for w in s})
             cut = [(i, s) for i, s in cut if not near.keys().isdisjoint(s)]
             whole = {i: [] for i in suspects}
@@ -192,12 +194,14 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -
 def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic_marks: int = 120, clean_marks: int = 30) -> KernelModel:
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
-    bags = {y: [set(strings(t)) for _, t in texts[y]] for y in (0, 1)}
-    found, usual = (Counter(w for bag in bags[y] for w in bag if 3 <= len(w) <= 16) for y in (1, 0))
+    # strings are counted over different sentences, so that copies of a text count once
+    cut = {y: {s for _, t in texts[y] for s in SENTENCE.split(t)} for y in (0, 1)}
+    bags = {y: [(s, strings(s)) for s in sorted(cut[y])] for y in (0, 1)}
+    found, usual = (Counter(w for _, bag in bags[y] for w in set(bag) if 3 <= len(w) <= 16) for y in (1, 0))
     if not bags[0] or not bags[1]:
         return KernelModel(prior=prior)
     lift = lambda w: np.log((found[w] + 0.5) / (len(bags[1]) + 1)) - np.log((usual[w] + 0.5) / (len(bags[0]) + 1))
-    typical = [w for w in found if found[w] >= max(2, 0.01 * len(bags[1])) and lift(w) > 2]
+    typical = [w for w in found if found[w] >= max(2, 0.01 * len(texts[1])) and lift(w) > 2]
     typical = sorted(typical, key=lambda w: (-found[w] * lift(w), w))[:toxic_marks]
     if not typical:
         return KernelModel(prior=prior)
@@ -209,18 +213,18 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     each = [subsequences(w, model.span, model.decay) for w in model.landmarks]
     own = np.sqrt([kernel(x, x) for x in each])
     gram = np.array([[kernel(x, y) for y in each] for x in each]) / np.outer(own, own)
+    gram **= model.power
     value, vector = np.linalg.eigh(gram)
     model.nystrom = vector / np.sqrt(np.maximum(value, 1e-3))
-    # a toxic text's sentences are toxic where they hold a typical string; clean texts' sentences are clean
+    # a toxic text's sentences are toxic where they hold a typical string; all sentences of clean texts are clean
     mark = set(typical)
-    sentences: dict[int, list] = {0: [], 1: []}
-    for y in (0, 1):
-        for _, t in texts[y]:
-            for s in SENTENCE.split(t):
-                words = strings(s)
-                if y == 0 or not mark.isdisjoint(words):
-                    sentences[y].append(words)
-    sentences[0] = sentences[0][:: max(1, len(sentences[0]) // 20_000)]
+    toxic = [words for _, words in bags[1] if not mark.isdisjoint(words)]
+    model.learn_strings({w for _, words in bags[0] for w in words})
+    clean = [words for _, words in bags[0] if not model._near.keys().isdisjoint(words)]
+    # and toxic strings with a letter put in count as toxic sentences of their own
+    chance = random.Random(11)
+    bent = [[w[:i] + bytes([chance.randrange(97, 123)]) + w[i:]] for w in typical for i in sorted(chance.sample(range(1, len(w)), min(3, len(w) - 1)))]
+    sentences = {1: toxic + bent, 0: [*clean, []]}
     x = np.vstack([model.features(sentences[1]), model.features(sentences[0])])
     y = np.array([1.0] * len(sentences[1]) + [-1.0] * len(sentences[0]))
     weight = np.where(y > 0, 0.5 / max(1, len(sentences[1])), 0.5 / max(1, len(sentences[0])))
@@ -228,7 +232,7 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     d = np.concatenate([model.decisions([t for _, t in texts[y]]) for y in (1, 0)])
     y = np.array([1] * len(texts[1]) + [0] * len(texts[0]))
     weight = np.where(y == 1, prior / len(texts[1]), (1 - prior) / len(texts[0])) * len(y)
-    model.curve = logistic(np.column_stack([d, np.ones(len(d))]), y, weight, ridge=1e-3)
+    model.curve = logistic(np.column_stack([d, np.ones(len(d))]), y, weight, ridge=1e-5)
     return model
 
 
