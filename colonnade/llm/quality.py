@@ -20,6 +20,7 @@ repeated rows each get a row; with no labels of one class the score is the other
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -145,6 +146,18 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=N
     return apply(docs, model, threshold)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, per_class: int = 4000, threshold: float = 0.3) -> DataFrame:
+    """The documents that classify() predicts 1 for, all columns kept."""
+    model = fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class))
+    held = docs.sparkSession.sparkContext.broadcast(model)  # a bounded model
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(held.value.score(binaries(batch.column("text"))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def apply(docs: DataFrame, model, threshold: float, carry: list[str] | None = None) -> DataFrame:
     """Scores of whole texts, with the columns in `carry` kept."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # a bounded model

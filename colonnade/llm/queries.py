@@ -26,6 +26,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir)).drop("spans")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import count_edited, sample_edits
+
+    return count_edited(documents(spark, sf_dir), sample_edits()).drop("tree")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import classify
 
@@ -33,12 +39,30 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fold(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import by_position, mix
+
+    return by_position(mix(documents(spark, sf_dir)))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
     return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_leaks
+
+    return find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import digest, near_duplicates
 
@@ -55,5 +79,17 @@ def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_top_k": OP5_SQL}

@@ -126,7 +126,7 @@ def _same(a: np.ndarray, b: np.ndarray) -> int:
 def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, spans (removed [start, end) in words), kept_sha256.
 
-    With keep_text also kept_text, the kept words joined by one space; `carry` names further columns to return.
+    With keep_text also kept_text, the kept words joined by one space, or the text itself where nothing goes; `carry` names further columns to return.
     """
     spark, carry = docs.sparkSession, [c for c in carry or [] if c != "doc_id"]
     parts = parallelism(spark)
@@ -247,7 +247,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
             for name, value in (("n_words", len(words)), ("n_removed", len(words) - len(kept)), ("spans", spans), ("kept_sha256", hashlib.sha256(joined).hexdigest())):
                 columns[name].append(value)
             if keep_text:
-                columns["kept_text"].append(joined.decode())
+                columns["kept_text"].append(text.decode() if gone is None else joined.decode())
         for c in ("doc_id", *carry):
             columns[c] = table[c].combine_chunks()
         return pa.Table.from_arrays([columns[f.name].cast(f.type) if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type) for f in target_schema], schema=target_schema)
