@@ -1,12 +1,61 @@
-"""Five-stage corpus pipeline; each stage is one operator of colonnade.llm."""
+"""Five-stage corpus pipeline; each stage is one operator of colonnade.llm.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns
+of documents; the last returns the mixing plan. Null texts are empty texts; null doc_ids always
+pass the near-duplicate stage; an empty table passes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from colonnade.llm import decontam, mixing, quality, simhash, substring_dedup
+from colonnade.llm.common import documents, stage_table
+from colonnade.llm.queries import fold
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the compression classifier rejects go."""
+    return quality.keep_good(docs.select(COLUMNS), documents(spark, sf_dir, "labels"), learn=~fold(5, 0))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    gone = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id")
+    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages an earlier document has go; so do documents of which no word is left."""
+    found = substring_dedup.remove_repeats(docs, keep_text=True, carry=["lang", "source"]).where("n_removed = 0 OR n_removed < n_words")
+    return found.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.drop_leaks(docs.select(COLUMNS), documents(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, in training order."""
+    return mixing.by_position(mixing.mix(docs))
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("SimHash near-dedup", near_dedup_stage),
+    ("substring dedup", substring_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
+]
+ORACLE_SQL = None  # compression, edit distances and fingerprints have no SQL; see tests/llm
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = stage_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
