@@ -64,9 +64,9 @@ def project_literals(spark, d):
     return connect(spark).frame("SELECT 1 AS one, 'hello' AS word, 42 AS answer")
 
 
-@query("SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 2) AS net, l_linenumber % 3 AS rest, l_linenumber * 2 + 1 AS odd FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net, l_linenumber % 3 AS rest, l_linenumber * 2 + 1 AS odd FROM lineitem")
 def project_arithmetic(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("net"), (F.col("l_linenumber") % 3).alias("rest"), (F.col("l_linenumber") * 2 + 1).alias("odd"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("net"), (F.col("l_linenumber") % 3).alias("rest"), (F.col("l_linenumber") * 2 + 1).alias("odd"))
 
 
 @query("SELECT o_orderkey, o_orderkey // 7 AS q, (-o_orderkey) // 7 AS neg FROM orders")
