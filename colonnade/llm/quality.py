@@ -73,6 +73,8 @@ class CompressionModel:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     center: np.ndarray = field(default_factory=lambda: np.zeros(0))
     scale: np.ndarray = field(default_factory=lambda: np.ones(0))
+    low: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    high: np.ndarray = field(default_factory=lambda: np.zeros(0))
     _tools: tuple | None = None
 
     def __getstate__(self):
@@ -99,9 +101,11 @@ class CompressionModel:
         return [(b - g) / (b + g), worst, best, np.log(g / (len(text) + 16)), np.log(len(plain(text)) / (len(text) + 16)), np.log(len(text) + 16)]
 
     def expand(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.center) / self.scale, -6, 6)
-        n = z.shape[1]
-        return np.column_stack([z, *[z[:, i] * z[:, j] for i in range(n) for j in range(i, n)], np.ones(len(z))])
+        """Columns of the curve: linear, and the differences by length; nothing lies beyond what was fitted,
+        so a text of the dictionary itself counts as the clearest one seen."""
+        z = (np.clip(x, self.low, self.high) - self.center) / self.scale
+        bend = np.maximum(0, -z[:, :3])  # steeper below the middle than above, never turning back
+        return np.column_stack([z, bend, z[:, 3:5] ** 2, z[:, :5] * z[:, -1:], bend * z[:, -1:], z[:, 3:4] * z[:, 4:5], np.ones(len(z))])
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not len(self.weights):
@@ -135,6 +139,7 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], piece
     y = np.array([1] * len(rest[1]) + [0] * len(rest[0]))
     x = np.array([model.sizes(t) for _, t in rest[1] + rest[0]])
     weight = np.where(y == 1, prior / max(1, len(rest[1])), (1 - prior) / max(1, len(rest[0]))) * len(y)
+    model.low, model.high = x.min(axis=0), x.max(axis=0)
     model.center, model.scale = np.median(x, axis=0), x.std(axis=0) + 1e-6
     model.weights = logistic(model.expand(x), y, weight)
     return model

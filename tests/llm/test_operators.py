@@ -1,0 +1,336 @@
+"""Each operator against a plain version of itself, on odd rows: nulls, empty and long texts, ties, repeats, no rows, extra columns."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from colonnade.llm import decontam, license_scan, mixing, quality, simhash, substring_dedup, token_counts, topk, toxicity, warc
+from colonnade.llm import common
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, part int, size string"
+
+
+def prose(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x", 1, "y") for i, t, s in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    rng = random.Random(3)
+    shared = prose(rng, 60, 10**6)
+    rows = [(i, prose(rng, rng.randrange(1, 120)), f"s{i % 3}") for i in range(40)]
+    rows += [(40 + i, f"{prose(rng, 20)} {shared} {prose(rng, 20)}", "s0") for i in range(6)]
+    rows += [(50, rows[3][1], None), (51, rows[3][1], "s1"), (51, rows[3][1], "s1"), (52, None, "s1"), (53, "", None), (54, " \n\t ", "é"), (55, prose(rng, 30_000), "s2"), (56, "a " * 500, "s2"), (None, rows[4][1], "s0"), (57, "x", "Z")]
+    return rows
+
+
+def test_substring_dedup(spark, odd_rows):
+    got = substring_dedup.remove_repeats(frame(spark, odd_rows), keep_text=True, carry=["lang"]).collect()
+    first = {}
+    for i, t, _ in sorted((r for r in odd_rows if r[0] is not None), key=lambda r: r[0]):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), i)
+    want = []
+    for i, t, _ in odd_rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        gone = set()
+        for k in range(len(w) - 12):
+            if i is not None and first[tuple(w[k : k + 13])] < i:
+                gone.update(range(k, k + 13))
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        want.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got), key=key) == sorted(want, key=key)
+    assert all(sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"] for r in got)
+    assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
+
+
+def reference_fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    grams = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+
+def test_simhash(spark, odd_rows):
+    rng = random.Random(4)
+    words = prose(rng, 200, 10**6).split()
+    near = [(100 + i, " ".join([*words[:i], "Zz", *words[i:]]), "s0") for i in range(0, 90, 3)]
+    rows = odd_rows + near
+    got = simhash.digest(simhash.near_duplicates(frame(spark, rows))).collect()
+    prints = [(i, reference_fingerprint(t)) for i, t, _ in rows]
+    root = {p: p for _, p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a in root:
+        for b in root:
+            if a < b and (a ^ b).bit_count() <= 4:
+                root[find(a)] = find(b)
+    least = {}
+    for i, p in prints:
+        if i is not None:
+            least[find(p)] = min(i, least.get(find(p), i))
+    key = lambda x: (x[0] is None, x[0] or 0)
+    assert sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got), key=key) == sorted(((i, f"{p:016x}", least.get(find(p))) for i, p in prints), key=key)
+    assert simhash.near_duplicates(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("cap", [4096, 50])
+def test_simhash_links_of_large_groups(spark, cap):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    fps = np.unique(np.concatenate([b ^ np.array([int(sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 4), replace=False))) for _ in range(30)], np.uint64) for b in base]))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    found = simhash.links(df, 4, cap).collect()
+    index = {int(v): i for i, v in enumerate(fps.view(np.int64))}
+    near = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)
+    want = simhash.roots(near[:, 0], near[:, 1], len(fps))
+    a, b = (np.array([index[r[c]] for r in found]) for c in ("a", "b"))
+    assert (simhash.roots(a, b, len(fps)) == want).all()
+    tree = simhash.GrayIndex(fps)
+    q, row = tree.pairs(fps[:50], 4)
+    assert sorted(zip(q.tolist(), row.tolist())) == sorted((i, j) for i, j in near.tolist() if i < 50)
+
+
+def test_components_of_chains(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150)] + [(300, 300 + i) for i in range(1, 150)]
+    got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(1, 61)) and got[200] == got[150] == 100 and all(got[300 + i] == 300 for i in range(1, 150))
+
+
+def test_license_scan(spark, odd_rows):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"
+    rows = odd_rows + [(200, "MIT License mit-license", "s"), (201, "the GNU General Public License, Apache LICENSE apache\nlicense", "s"), (202, f"pre {mit} post", "s"), (203, mit.replace("hereby", "hereby and gladly"), "s"), (204, "general public", "s"), (205, "ÀMIT license mit licenseé", "s")]
+    got = license_scan.scan(frame(spark, rows)).collect()
+    want = []
+    for i, t, _ in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOW))
+        at = sorted((k, label) for p, label in license_scan.BASE.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split())
+        want.append((i, len(w), len(at), at[0][0] if at else None, at[-1][0] if at else None, ",".join(sorted({x for _, x in at}))))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in got), key=key) == sorted(want, key=key)
+    by = {r["doc_id"]: r for r in got}
+    assert by[202]["labels"] == by[203]["labels"] == "mit" and by[202]["score"] == 1 and 0.6 <= by[203]["score"] <= 1 and by[202]["spans"][0]["start"] == 1
+    assert by[200]["score"] == 1 and by[204]["labels"] == "" and license_scan.scan(frame(spark, [])).count() == 0
+
+
+def test_license_scan_is_native(spark, odd_rows):
+    plan = license_scan.scan(frame(spark, odd_rows).withColumn("text", F.upper("text")))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|InArrow", plan)
+
+
+def test_warc(spark, odd_rows, tmp_path):
+    rows = [(i, None if i == 52 else f"http://h/{i}\r\nX: y", t) for i, t, _ in odd_rows]
+    pages = spark.createDataFrame([(*r, "e") for r in rows], "page_id long, url string, html string, part string")
+    out, manifest = warc.write_archives(pages, f"file://{tmp_path}/a", roll=20_000, part_bytes=1 << 16)
+    got = warc.read_archives(out, manifest).collect()
+    least, done, want = {}, set(), []
+    for i, _, t in rows:
+        if i is not None:
+            least[t or ""] = min(i, least.get(t or "", i))
+    for i, _, t in rows:
+        p = (t or "").encode()
+        first = least.get(t or "")
+        own = first is None or first == i and (i, t) not in done
+        done.add((i, t))
+        want.append((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if own else "revisit", None if own else first))
+    key = lambda x: (x[0] is None, x[0] or 0, x[3])
+    assert sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got), key=key) == sorted(want, key=key)
+    again = warc.write_archives(pages.repartition(3), f"file://{tmp_path}/b", roll=20_000, part_bytes=1 << 16)[1]
+    assert sorted(map(tuple, manifest.collect())) == sorted(map(tuple, again.collect())) and manifest.count() > 2
+    assert warc.read_archives(*warc.write_archives(pages.limit(0), f"file://{tmp_path}/c")).count() == 0
+    assert not list(tmp_path.glob("a/.part*"))
+
+
+def test_warc_damage():
+    member = warc.record(1, "http://x", b"abc", warc.base32_sha1(b"abc"), None, "2000-01-01T00:00:00Z")
+    headers, block = warc.parse(zlib.decompress(member, 31))
+    assert headers["warc-type"] == "response" and block.endswith(b"\r\n\r\nabc")
+    with pytest.raises(ValueError):
+        warc.parse(zlib.decompress(member, 31).replace(b"abc", b"abd"))
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8)]) for i in range(300)]
+    rows += [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (304, [1.0]), (305, []), (306, rows[40][1]), (307, [0.0] * 8), (320, rows[40][1])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=7, shard_rows=90, block_rows=6).collect()
+    whole = {i: np.floor(64 * np.array(v, np.float32).astype(float)).astype(int) for i, v in rows if v and len(v) == 8 and None not in v and np.isfinite(v).all()}
+    want = []
+    for q in (i for i in whole if i % 20 == 0):
+        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:7]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
+    few = topk.top_k(spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>"), F.lit(True)).collect()
+    assert len(few) == 6
+
+
+def test_mixing(spark, odd_rows):
+    docs = frame(spark, odd_rows)
+    got = mixing.mix(docs).collect()
+    sizes, total = {}, 0
+    for i, t, s in odd_rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        sizes[s] = sizes.get(s, 0) + n
+        total += n
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None]
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    capped = set()
+    while True:
+        share = (total - sum(3 * sizes[s] for s in capped)) / sum(weight[s] for s in names if s not in capped)
+        more = {s for s in names if s not in capped and share * weight[s] > 3 * sizes[s]}
+        if not more:
+            break
+        capped |= more
+    assert len(got) == len(odd_rows)
+    taken = {}
+    for r in got:
+        want = 3 * sizes[r["source"]] if r["source"] in capped else share * weight[r["source"]]
+        assert r["target"] == pytest.approx(want) and r["source_size"] == sizes[r["source"]] and r["taken"] <= 3 * r["size"] and r["taken"] == r["size"] * r["copies"]
+        taken.setdefault(r["source"], [0, want, 0])
+        taken[r["source"]][0] += r["taken"]
+        taken[r["source"]][2] = max(taken[r["source"]][2], r["size"])
+    assert all(abs(a - b) <= c / 2 + 1 for a, b, c in taken.values())
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix(docs.repartition(5)).collect()), key=str)
+    order = mixing.curriculum(mixing.mix(docs)).collect()
+    assert [r["position"] for r in order] == sorted(r["position"] for r in order) and sum(r["size"] for r in order) == sum(r["taken"] for r in got)
+    assert mixing.mix(frame(spark, [])).count() == 0
+
+
+def test_curriculum_inverts_the_schedule():
+    for a in (-0.9, 0.0, 0.5, 1.0):
+        for u in np.linspace(0, 1, 11):
+            t = 2 * u / ((1 - a) + np.sqrt((1 - a) ** 2 + 4 * a * u)) if u else 0.0
+            assert t + a * (t * t - t) == pytest.approx(u)
+
+
+def test_decontamination(spark, odd_rows):
+    rng = random.Random(8)
+    item = prose(rng, 40, 10**6)
+    bent = item.replace(item.split()[5], "changed").upper().replace(" ", ", ")
+    rows = odd_rows + [(300, f"before {item} after", "s"), (301, f"x {bent}!", "s"), (302, item[: len(item) // 2], "s")]
+    bench = spark.createDataFrame([(1, item, "e"), (2, None, "e"), (3, "...", "e"), (4, prose(rng, 30, 10**6), "e"), (1, item, "e")], "item_id long, text string, lang string")
+    for block in (2_000_000, 100):
+        got = decontam.find_leaks(frame(spark, rows), bench, block_chars=block).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(300, 1), (300, 1), (301, 1), (301, 1)]
+        assert {r["doc_id"]: r["distance"] == 0 for r in got} == {300: True, 301: False}
+        kept = decontam.drop_leaks(frame(spark, rows), bench, block_chars=block)
+        assert kept.count() == len(rows) - 2 and kept.columns == frame(spark, rows).columns
+    assert decontam.find_leaks(frame(spark, rows), bench.limit(0)).count() == 0 == decontam.find_leaks(frame(spark, []), bench).count()
+
+
+def test_pigeonhole_finds_all_that_distance_allows():
+    rng = random.Random(9)
+    for _ in range(40):
+        text = "".join(rng.choice("abcd ") for _ in range(300))
+        at, size = rng.randrange(150), rng.randrange(20, 120)
+        piece = list(text[at : at + size])
+        for _ in range(rng.randrange(8)):
+            piece[rng.randrange(len(piece))] = rng.choice("abcd")
+        item = decontam.normalise("".join(piece))
+        plain = decontam.normalise(text)
+        best = min_distance(item, plain)
+        found = decontam.Matcher([(1, item)], 0.1).matches(text)
+        assert bool(found) == (best <= int(0.1 * len(item))) and (not found or found[0][1] == best)
+
+
+def min_distance(item, text):
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def test_token_counts(spark, odd_rows):
+    with open(token_counts.VOCABULARY, "rb") as f:
+        encode = token_counts.encoder(f.read())
+    rows = [r for r in odd_rows if r[0] != 55] + [(400, "tabs\t\tand  double  spaces\n\nlines é ñ 漢字 it's we'll " * 40, "s")]
+    df = frame(spark, rows)
+    got = token_counts.count_edited(df, token_counts.sample_edits(), leaf=64).join(df.select("doc_id", "text", token_counts.sample_edits().alias("edits")).distinct(), "doc_id").collect()
+    assert len(got) == len([r for r in rows if r[0] is not None])
+    for r in got:
+        text = r["text"] or ""
+        assert r["n_tokens"] == len(encode(text)) and r["tree"][0] == r["tokens_after"]
+        for e in r["edits"]:
+            a, b = min(e["start"], len(text)), min(max(e["start"], e["end"]), len(text))
+            text = text[:a] + e["text"] + text[b:]
+        assert (r["tokens_after"], r["chars_after"]) == (len(encode(text)), len(text))
+    nulls = token_counts.count_edited(df, F.lit(None))
+    assert nulls.where("tokens_after <> n_tokens OR reencoded_chars > 0").count() == 0
+    assert token_counts.count_edited(frame(spark, []), F.lit(None)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def labelled():
+    rng = random.Random(10)
+    good = [f"{prose(rng, rng.randrange(20, 80))}." for _ in range(120)]
+    bad = [" ".join(f"{w.upper()}!!$$" for w in prose(rng, rng.randrange(20, 80)).split()) for _ in range(60)]
+    rude = [g.replace(g.split()[3], rng.choice(["blockhead", "nitwit", "scoundrel"]), 1) for g in good[:60]]
+    return good, bad, rude
+
+
+def test_quality(spark, labelled):
+    good, bad, _ = labelled
+    rows = [(i, t, "s") for i, t in enumerate(good + bad)]
+    labels = spark.createDataFrame([(i, int(i < len(good)), "e") for i in range(len(rows))] + [(None, 1, "e"), (5, None, "e"), (9999, 0, "e")], "doc_id long, quality int, text string")
+    extra = [(500, None, "s"), (501, "", "s"), (502, "x" * 200_000, "s"), (None, good[0], "s"), (3, good[3], "s")]
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    got = quality.classify(frame(spark, rows + extra), labels, learn=learn).collect()
+    assert len(got) == len(rows) + len(extra) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got)
+    held = [(r["predicted"], int(r["doc_id"] < len(good))) for r in got if r["doc_id"] is not None and r["doc_id"] < 500 and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert np.mean([a == b for a, b in held]) > 0.9
+    assert [r["score"] for r in quality.classify(frame(spark, rows[:1]), labels.limit(0)).collect()] == [1.0]
+    assert quality.classify(frame(spark, []), labels).count() == 0
+    kept = quality.keep_good(frame(spark, rows), labels, learn=learn)
+    assert kept.columns == frame(spark, rows).columns and len(good) * 0.9 < kept.count() < len(rows) - len(bad) * 0.8
+
+
+def test_toxicity(spark, labelled):
+    good, _, rude = labelled
+    rows = [(i, t, "s") for i, t in enumerate(good + rude)]
+    labels = spark.createDataFrame([(i, int(i >= len(good))) for i in range(len(rows))], "doc_id long, toxic int")
+    probes = [(500, f"{good[1]} n i t w i t", "s"), (501, f"{good[2]} block-head", "s"), (502, f"{good[2]} nitwwit", "s"), (503, None, "s"), (504, "", "s"), (505, "q" * 100_000, "s")]
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
+    got = {r["doc_id"]: r for r in toxicity.classify(frame(spark, rows + probes), labels, learn=learn).collect()}
+    held = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert np.mean([got[i]["predicted"] == int(i >= len(good)) for i in held]) > 0.95
+    assert all(got[i]["predicted"] == 1 for i in (500, 501, 502)) and all(got[i]["predicted"] == 0 for i in (503, 504, 505))
+    assert [r["score"] for r in toxicity.classify(frame(spark, rows[:1]), labels.limit(0)).collect()] == [0.0]
+
+
+def test_kernel_tolerates_gaps():
+    k = lambda a, b: toxicity.kernel(toxicity.subsequences(a, 8, 0.85), toxicity.subsequences(b, 8, 0.85))
+    near = lambda a, b: k(a, b) / (k(a, a) * k(b, b)) ** 0.5
+    assert near(b"idiot", b"idiot") == pytest.approx(1) and near(b"idiot", b"idxiot") > 0.6 > 0.2 > near(b"idiot", b"theory")
+    assert toxicity.subsequences(b"abc", 8, 0.5) == {1 * 1024 + 2 * 32 + 3: 0.125} and toxicity.subsequences(b"ab", 8, 0.5) == {}
+
+
+def test_ranges(spark):
+    df = spark.createDataFrame([(int(i), 1) for i in [*range(1000), 10**12, -(10**9), 5, 5]] + [(None, 1)], "id long, w int")
+    bounds = common.ranges(df, "id", F.col("w"), 100)
+    assert bounds == sorted(set(bounds)) and bounds[-1] == 10**12 and len(bounds) >= 9
+    got = df.select("id", common.range_index("id", bounds).alias("part")).collect()
+    for r in got:
+        assert r["part"] == (-1 if r["id"] is None else next(i for i, b in enumerate(bounds) if r["id"] <= b))
+    assert common.ranges(df.limit(0), "id", F.col("w"), 5) == []
