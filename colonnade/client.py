@@ -186,6 +186,9 @@ class Connection:
         missing = sorted(set(statement.parameters) - set(given))
         if missing:
             raise MissingParameter(f"no value for parameter {', '.join(missing)}", names=missing)
+        if "system_tables" in statement.sql:
+            listed = [(t.namespace[0] if t.namespace else "", t.name, t.tableType, t.isTemporary) for t in self.spark.catalog.listTables()]
+            self.spark.createDataFrame(listed, "database string, name string, kind string, is_temporary boolean").createOrReplaceTempView("system_tables")
         args = {k: types.convert(kind, given[k], (k,)) if not isinstance(given[k], str) or kind.name in ("String", "UUID", "IPv6") else given[k] for k, kind in statement.parameters.items()}
         return self.spark.sql(statement.sql, args=args) if args else self.spark.sql(statement.sql)
 
@@ -266,6 +269,11 @@ class Connection:
         if held:
             yield held
 
+    def forward(self, sql: str, sink: Callable, parameters: dict | None = None) -> None:
+        """Every row of a query to a sink that runs where the rows are, a partition at a time."""
+        with self._running(None, {}, None):
+            self.frame(sql, parameters).foreachPartition(sink)
+
     # --- inserts ---
     def insert(self, sql: str, columns: list[dict], settings=None, query_id: str | None = None, timeout: float | None = None, on_log: Callable | None = None) -> dict[str, Any]:
         """Write one typed block; nothing is written if any value doesn't fit."""

@@ -112,6 +112,29 @@ def json_value(text: Column | str, path: str, kind: str) -> Column:
     return F.try_variant_get(F.try_parse_json(_col(text)), path, kind)
 
 
+def valid_text(raw: Column | str, longest: int = 1 << 30) -> Column:
+    """Text of bytes that are UTF-8 and not too long; anything else raises."""
+    c = _col(raw)
+    bad = F.raise_error(F.concat(F.lit("no valid text: "), F.hex(F.substring(c, 1, 16)))).cast("string")
+    return F.when(c.isNull(), F.lit(None)).otherwise(F.when(F.is_valid_utf8(c.cast("string")) & (F.octet_length(c) <= longest), c.cast("string")).otherwise(bad))
+
+
+def block_hash(*columns: Column | str) -> Column:
+    """128 bits, as hex, of the values of a row: two 64-bit hashes of different inputs."""
+    cols = [_col(c) for c in columns]
+    return F.lower(F.concat(F.lpad(F.hex(F.xxhash64(*cols)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit("second"), *cols)), 16, "0")))
+
+
+def verified(hash: Column | str, *columns: Column | str) -> Column:
+    return _col(hash) == block_hash(*columns)
+
+
+def float_kind(number: Column | str) -> Column:
+    """nan, infinity, -infinity or finite."""
+    n = _col(number)
+    return F.when(F.isnan(n), "nan").when(n == float("inf"), "infinity").when(n == float("-inf"), "-infinity").when(n.isNotNull(), "finite")
+
+
 def wide_add(bits: int, signed: bool = True):
     """Sum of two wide integers held as text; raises outside their range."""
     low, high = (-(1 << bits - 1), (1 << bits - 1) - 1) if signed else (0, (1 << bits) - 1)

@@ -308,6 +308,33 @@ def point_pack(spark, d):
     return packed.select("s_suppkey", "p.x", "p.y")
 
 
+@query("SELECT event_id, event_type AS text, 32 AS digits, true AS same FROM events")
+def text_and_hash(spark, d):
+    df = table(spark, d, "events").select("event_id", S.valid_text(F.col("event_type").cast("binary")).alias("text"), S.block_hash("event_id", "event_type").alias("h"), "event_type")
+    return df.select("event_id", "text", F.length("h").alias("digits"), S.verified("h", "event_id", "event_type").alias("same"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'nan' WHEN 1 THEN 'infinity' WHEN 2 THEN '-infinity' ELSE 'finite' END AS kind FROM events")
+def float_specials(spark, d):
+    k = F.col("event_id") % 4
+    x = F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, float("-inf")).otherwise(F.col("event_id").cast("double"))
+    return table(spark, d, "events").select("event_id", S.float_kind(x).alias("kind"))
+
+
+@query("SELECT event_id, 'k' AS name, CAST(json_extract(props, '$.k') AS BIGINT) AS value FROM events")
+def map_split(spark, d):
+    df = table(spark, d, "events").select("event_id", F.from_json("props", "map<string,bigint>").alias("m"))
+    names, values = C.map_columns("m")
+    return df.select("event_id", names[0].alias("name"), values[0].alias("value"))
+
+
+@query("SELECT s_suppkey, true AS same FROM supplier")
+def array_slices(spark, d):
+    whole = F.array(*[F.col("s_suppkey") + i for i in range(6)])
+    cut = C.slice_arrays(whole, F.array(F.lit(1), F.lit(1), F.lit(6)))
+    return table(spark, d, "supplier").select("s_suppkey", ((F.size(cut) == 3) & (F.flatten(cut) == whole) & (F.size(cut[1]) == 0)).alias("same"))
+
+
 # --- A: inserts and streamed results ---
 def _scratch(spark: SparkSession, name: str, columns: str):
     connection = connect(spark, timeout=None)
@@ -378,6 +405,20 @@ def compressed_roundtrip(spark, d):
     return spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT count(*) AS n, sum(o_orderkey) AS total, 16 AS batches FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1500)")
+def stream_batches(spark, d):
+    connection = connect(spark)
+    register_tables(connection.spark, d, ["orders"])
+    got = list(connection.batches("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1500", 98))
+    return spark.createDataFrame([(sum(map(len, got)), sum(r[0] for b in got for r in b), len(got))], "n long, total long, batches int")
+
+
+@query("SELECT 1 AS found")
+def system_tables(spark, d):
+    connection = _scratch(spark, "listed_table", "id Int64")
+    return connection.frame("SELECT CAST(count() AS INT) AS found FROM system.tables WHERE name = 'listed_table'")
+
+
 # --- C: extensions, not part of the reference ---
 @query("SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
 def ext_join_inner(spark, d):
