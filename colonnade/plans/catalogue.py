@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -336,32 +337,32 @@ def array_slices(spark, d):
 
 
 # --- A: inserts and streamed results ---
-def _scratch(spark: SparkSession, name: str, columns: str):
-    connection = connect(spark, timeout=None)
-    connection.spark.sql(f"DROP TABLE IF EXISTS {name}")
+def _scratch(spark: SparkSession, columns: str):
+    """A connection and a new table; names differ from run to run, as an old run's files may still lie in the warehouse."""
+    connection, name = connect(spark, timeout=None), f"scratch_{uuid.uuid4().hex[:12]}"
     connection.query(f"CREATE TABLE {name} ({columns}) ENGINE = MergeTree() ORDER BY id")
-    return connection
+    return connection, name
 
 
 @query("SELECT range AS id, 'n' || range AS name, range * 1.5::DOUBLE AS value FROM range(1000)")
 def insert_roundtrip(spark, d):
-    connection = _scratch(spark, "insert_roundtrip", "id UInt32, name String, value Float64")
+    connection, name = _scratch(spark, "id UInt32, name String, value Float64")
     n = range(1000)
-    connection.insert("INSERT INTO insert_roundtrip VALUES", [{"name": "id", "type": "UInt32", "data": list(n)}, {"name": "name", "type": "String", "data": [f"n{i}" for i in n]}, {"name": "value", "type": "Float64", "data": [i * 1.5 for i in n]}])
-    return spark.table("insert_roundtrip")
+    connection.insert(f"INSERT INTO {name} VALUES", [{"name": "id", "type": "UInt32", "data": list(n)}, {"name": "name", "type": "String", "data": [f"n{i}" for i in n]}, {"name": "value", "type": "Float64", "data": [i * 1.5 for i in n]}])
+    return spark.table(name)
 
 
 @query("SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS value FROM orders")
 def insert_select(spark, d):
-    connection = _scratch(spark, "insert_select", "id Int64, value String")
+    connection, name = _scratch(spark, "id Int64, value String")
     register_tables(connection.spark, d, ["orders"])
-    connection.query("INSERT INTO insert_select SELECT o_orderkey, toString(o_orderkey) FROM orders")
-    return spark.table("insert_select")
+    connection.query(f"INSERT INTO {name} SELECT o_orderkey, toString(o_orderkey) FROM orders")
+    return spark.table(name)
 
 
 @query("SELECT range AS id, range % 7 AS g FROM range(500)")
 def stream_insert(spark, d):
-    connection = _scratch(spark, "stream_insert", "id UInt32, g Int32")
+    connection, name = _scratch(spark, "id UInt32, g Int32")
 
     def blocks(at: int):
         if at == 500:
@@ -369,16 +370,16 @@ def stream_insert(spark, d):
         n = range(at, at + 100)
         return ("ok", [{"name": "id", "data": list(n)}, {"name": "g", "data": [i % 7 for i in n]}], at + 100)
 
-    connection.streaming_insert("INSERT INTO stream_insert VALUES", [("id", "UInt32"), ("g", "Int32")], blocks, 0)
-    return spark.table("stream_insert").select("id", F.col("g").cast("long").alias("g"))
+    connection.streaming_insert(f"INSERT INTO {name} VALUES", [("id", "UInt32"), ("g", "Int32")], blocks, 0)
+    return spark.table(name).select("id", F.col("g").cast("long").alias("g"))
 
 
 @query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal > 0")
 def stream_copy(spark, d):
-    connection = _scratch(spark, "stream_copy", "id Int64, name String")
+    connection, name = _scratch(spark, "id Int64, name String")
     register_tables(connection.spark, d, ["customer"])
-    connection.copy("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal > 0", "stream_copy")
-    return spark.table("stream_copy")
+    connection.copy("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal > 0", name)
+    return spark.table(name)
 
 
 @query("SELECT count(*) AS n, sum(n_nationkey) AS total FROM nation")
@@ -400,7 +401,7 @@ def collect_columns(spark, d):
 
 @query("SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
 def compressed_roundtrip(spark, d):
-    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/compressed_roundtrip"
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/compressed_{uuid.uuid4().hex[:12]}"
     write_parquet(table(spark, d, "lineitem").select("l_returnflag", "l_orderkey"), path, "zstd", 3, sort_by=["l_returnflag"])
     return spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
@@ -415,8 +416,8 @@ def stream_batches(spark, d):
 
 @query("SELECT 1 AS found")
 def system_tables(spark, d):
-    connection = _scratch(spark, "listed_table", "id Int64")
-    return connection.frame("SELECT CAST(count() AS INT) AS found FROM system.tables WHERE name = 'listed_table'")
+    connection, name = _scratch(spark, "id Int64")
+    return connection.frame("SELECT CAST(count() AS INT) AS found FROM system.tables WHERE name = {name:String}", {"name": name})
 
 
 # --- C: extensions, not part of the reference ---
