@@ -177,6 +177,12 @@ def pow2(x: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(x, 1)))))
 
 
+def distinct(a: np.ndarray) -> np.ndarray:
+    """Sorted different values; a sort is many times faster here than numpy's hashed unique()."""
+    a = np.sort(a)
+    return a[np.concatenate(([True], a[1:] != a[:-1]))] if len(a) else a
+
+
 def to_ipc(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:

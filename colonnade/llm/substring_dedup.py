@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, drop_table, free_shuffles, from_ipc, packed, parallelism, pow2, range_index, ranges, stage_table
+from .common import binaries, distinct, drop_table, free_shuffles, from_ipc, packed, parallelism, pow2, range_index, ranges, stage_table
 
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -147,7 +147,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
             for part, blob in zip(batch.column("part").to_pylist(), batch.column("rows").to_pylist()):
                 if part < 0:
                     continue
-                key = np.unique(keys(window_hashes(*_split(binaries(from_ipc([blob])["_text"].combine_chunks())), window)[1]))
+                key = distinct(keys(window_hashes(*_split(binaries(from_ipc([blob])["_text"].combine_chunks())), window)[1]))
                 cuts = np.searchsorted(key, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
                 low = key.astype(np.uint32)
                 full = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
@@ -159,7 +159,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
     def confirm(key: tuple, table: pa.Table) -> pa.Table:
         each = [np.frombuffer(x, np.uint32) for x in table["prints"].to_pylist()]
         own = np.repeat(table["part"].to_numpy().astype(np.uint64), [len(x) for x in each])
-        seen = np.unique((np.concatenate(each).astype(np.uint64) << np.uint64(32)) | own)
+        seen = distinct((np.concatenate(each).astype(np.uint64) << np.uint64(32)) | own)
         value, part = (seen >> np.uint64(32)).astype(np.uint32), seen.astype(np.uint32)
         at = np.flatnonzero(value[:-1] == value[1:])
         source, to, value = part[at], part[at + 1], value[at]
