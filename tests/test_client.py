@@ -3,7 +3,7 @@ import time
 
 import pytest
 
-from colonnade import errors, operators  # noqa: F401
+from colonnade import errors
 from colonnade.client import connect
 from colonnade.dialect import translate
 
