@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, distinct, drop_table, free_shuffles, from_ipc, packed, parallelism, pow2, range_index, ranges, stage_table
+from .common import binaries, distinct, drop_table, free_shuffles, from_ipc, packed, parallelism, pow2, range_index, ranges, stage_table, to_ipc
 
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -134,7 +134,15 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
     total = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     target = int(min(8_000_000, max(250_000, total / (4 * parts))))
     bounds = ranges(rows, "doc_id", F.length("_text") + 64, target)
-    packs = stage_table(packed(rows.withColumn("part", range_index("doc_id", bounds)), "part"), "doc-packs")
+    def gather(table: pa.Table) -> pa.Table:
+        """One pack for a part, however its documents were spread over the input."""
+        whole = from_ipc(table["rows"].to_pylist()).sort_by("doc_id").combine_chunks()
+        blobs = [to_ipc(b) for b in whole.to_batches(max_chunksize=20_000)]
+        return pa.table({"part": pa.array([table["part"][0].as_py()] * len(blobs), pa.int32()), "rows": pa.array(blobs, pa.binary())})
+
+    loose = packed(rows.withColumn("part", range_index("doc_id", bounds)), "part")
+    packs = stage_table(loose.groupBy("part").applyInArrow(gather, "part int, rows binary"), "doc-packs")
+    free_shuffles(spark)
     buckets = max(64, pow2(total / 6_000_000))
     bits = np.uint64(int(np.log2(buckets)))
 
