@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import stage_table
+
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Openings of public licence notices, and their labels.
@@ -36,6 +38,7 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
     "this work is licensed under a creative commons attribution": "cc-by",
 }
+KEY = ["doc_id", "text_hash", "n_words"]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -50,12 +53,8 @@ def templates(base: dict[str, str], notices: dict[str, str]) -> list[tuple]:
     return out
 
 
-def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, coverage: float = 0.6, drift: int = 2) -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
-
-    score: share of its template's bigrams that the best verified span has (1 for a base phrase); spans:
-    (label, start, end in words, coverage) of all base places and verified notice spans.
-    """
+def cast_votes(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> DataFrame:
+    """The votes of each (document, template, diagonal) as a mask, where they could count, and one row without template for each document."""
     spark = docs.sparkSession
     values = ", ".join(f"({n}, '{label}', {is_base}, {length}, {pos}, '{a}', '{b}')" for n, label, is_base, length, pos, a, b in templates(base, notices))
     table = F.broadcast(spark.sql(f"SELECT *, xxhash64(tw, tnext) AS h FROM VALUES {values} AS t(tmpl, label, is_base, length, tpos, tw, tnext)"))  # the template lists fix its size
@@ -66,12 +65,22 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] =
     rows = cut.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), F.posexplode(grams).alias("pos", "gram"))
     rows = rows.select("doc_id", "text_hash", "n_words", "pos", F.col("gram.w").alias("w"), F.col("gram.next").alias("next")).withColumn("h", F.xxhash64("w", "next"))
     voted = rows.join(table, (rows.h == table.h) & (rows.w == table.tw) & (rows.next == table.tnext), "left")
-    key = ["doc_id", "text_hash", "n_words"]
-    votes = voted.groupBy(*key, "tmpl", "label", "is_base", "length", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
+    votes = voted.groupBy(*KEY, "tmpl", "label", "is_base", "length", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
         F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("mask"), F.count_if(F.col("w") == "").alias("copies")
     )
     full = F.bit_count("mask") == F.col("length") - 1
-    votes = votes.where(F.col("tmpl").isNull() | full | (~F.col("is_base") & (F.bit_count("mask") >= 2)))
+    return votes.where(F.col("tmpl").isNull() | full | (~F.col("is_base") & (F.bit_count("mask") >= 2)))
+
+
+def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, coverage: float = 0.6, drift: int = 2) -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
+
+    score: share of its template's bigrams that the best verified span has (1 for a base phrase); spans:
+    (label, start, end in words, coverage) of all base places and verified notice spans.
+    The few votes that count are written out, so that the texts are read once.
+    """
+    key = KEY
+    votes = stage_table(cast_votes(docs, base, notices), "licence-votes")
     places = votes.where("tmpl IS NULL OR is_base").select(*key, "copies", F.when(F.col("tmpl").isNotNull(), F.struct("label", F.col("diagonal").cast("long").alias("start"), (F.col("diagonal") + F.col("length")).cast("long").alias("end"), F.lit(1.0).alias("coverage"))).alias("base"), F.lit(None).cast("struct<label:string,start:bigint,end:bigint,coverage:double>").alias("notice"))
 
     along = W.partitionBy(*key, "tmpl").orderBy("diagonal")
