@@ -37,8 +37,10 @@ class ImpactIndex:
         level = size // self.step
         self.segments = []
         rest = self.rows.astype(np.float64)
+        taken = np.zeros(level.shape, bool)
         for top in self._cuts(level):  # a segment group: all impacts at or above a level, not taken yet
-            take = (level >= top) & (np.abs(rest) > 0)
+            take = (level >= top) & ~taken
+            taken |= take
             impact = np.where(take, np.sign(self.rows) * level * self.step, 0).astype(np.float64)
             rest = np.where(take, self.rows - impact, rest)
             # what is left of a vector, in all: a query's product with it is at most the norms' product

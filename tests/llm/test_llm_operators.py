@@ -183,6 +183,19 @@ def test_top_k(spark):
     assert len(few) == 6
 
 
+@pytest.mark.parametrize("high", [12, 60])
+def test_top_k_takes_each_posting_once(high):
+    rows = np.floor(np.random.default_rng(6).standard_normal((600, 8)) * high).astype(np.int64)
+    ids, asks = np.arange(600), np.arange(0, 600, 4)
+    index = topk.ImpactIndex(ids, rows)
+    assert index.step >= 2
+    who, row, score = index.search(ids[asks], rows[asks], 20)
+    whole = rows[asks] @ rows.T
+    for n, q in enumerate(asks.tolist()):
+        want = sorted((-int(s), i) for i, s in enumerate(whole[n].tolist()) if i != q)[:20]
+        assert sorted(zip((-score[who == n]).tolist(), row[who == n].tolist())) == want
+
+
 def test_mixing(spark, odd_rows):
     docs = frame(spark, odd_rows)
     got = mixing.mix(docs).collect()

@@ -38,6 +38,15 @@ def test_op5_oracle(spark):
     assert sorted(map(tuple, got)) == sorted(found)
 
 
+def test_op5_oracle_where_steps_are_above_one(spark):
+    large = "/root/testdata/sf0.1"
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{large}/embeddings.parquet'")
+    found = c.execute(queries.oracle_sql()["op5_exact_top_k"]).fetchall()
+    got = queries.queries()["op5_exact_top_k"](spark, large).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(found)
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     before = {r["doc_id"]: r for r in docs.collect()}
