@@ -10,6 +10,12 @@ way down and drops a node with all its rows once they pass the limit.
 Defined results: null and blank texts have fingerprint zero and link like any other;
 repeated rows each get a row; a null doc_id never names a component unless all ids
 in it are null. Extra columns are ignored.
+
+near_copies() is for a corpus: documents whose sets of five-word shingles have a Jaccard similarity
+of 0.8 or more are linked. At that similarity fingerprints differ in about 10 bits of 64, often in more, which no
+choice of blocks finds at a bearable cost; so texts meet if the index above links them or if they agree
+in one of 25 bands of four min-hashes (at 0.8 a pair fails to with probability 2e-6). All pairs of texts
+that meet and are not linked yet are compared by their whole shingle sets, told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,19 +34,26 @@ from .common import binaries, hot_keys, map_arrow, parallelism, salted_join, sig
 BLOCKS = (11, 11, 11, 11, 10, 10)
 LEAF, FAN = 32, 8
 SEED = 42
+BANDS, BAND = 25, 4
+_random = np.random.default_rng(SEED)
+TIMES, PLUS = _random.integers(0, 1 << 64, BANDS * BAND, np.uint64) | np.uint64(1), _random.integers(0, 1 << 64, BANDS * BAND, np.uint64)
 
 
-def fingerprint(text: bytes, shingle: int = 4) -> int:
-    """Unsigned 64-bit SimHash of one text's word shingles, repeats included."""
+def shingle_hashes(text: bytes, shingle: int = 4) -> np.ndarray:
+    """Hash of each of a text's word shingles in order, repeats included; a shorter text is one shingle."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return digest(joined, SEED)
+        return np.array([digest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - shingle + 1].tolist()
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 15):
         part = hashes[at : at + (1 << 15)]
@@ -48,6 +61,11 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, shingle: int = 4) -> int:
+    """Unsigned 64-bit SimHash of one text's word shingles, repeats included."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fp): fp holds the 64 bits as a signed long."""
 
@@ -152,27 +170,30 @@ def _local_links(key: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.nd
     return nodes[moved], nodes[root[moved]]
 
 
+def dealt(keyed: DataFrame, id: str, total: int, cap: int) -> DataFrame:
+    """(id, key), where any two rows of a key still meet under one; of large keys the pairs of sub-blocks are dealt out."""
+    cap = max(cap, total // 20_000)  # so that fewer than 20,000 keys are above it
+    over = [(r[0], -(-r[1] // cap)) for r in keyed.groupBy("key").count().where(F.col("count") > cap).collect()]
+    if not over:
+        return keyed
+    table = keyed.sparkSession.createDataFrame(over, "key long, subs int")
+    keyed = keyed.join(F.broadcast(table), "key", "left").withColumn("own", F.pmod(F.xxhash64(id), F.col("subs")).cast("int"))
+    other = F.when(F.col("subs").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("subs") - 1))
+    keyed = keyed.select(id, "key", "own", F.explode(other).alias("other"))
+    return keyed.select(id, F.when(F.col("other") < 0, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
+
+
 def links(distinct: DataFrame, distance: int = 4, cap: int = 4096) -> DataFrame:
     """(a, b), b < a unsigned: links that connect exactly the fingerprints `distance` bits link, directly or over others."""
     if distance > len(BLOCKS) - 2:
         raise ValueError("the block keys cover 4 differing bits at most")
-    spark = distinct.sparkSession
     at, blocks = 0, []
     for w in BLOCKS:
         blocks.append(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << w) - 1)))
         at += w
     keys = [F.lit(n << 40) + F.shiftleft(blocks[i], 11) + blocks[j] for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
-    parts = parallelism(spark)
     total = distinct.count() * len(keys)
-    cap = max(cap, total // 20_000)  # so that fewer than 20,000 keys are above it
-    over = [(r[0], -(-r[1] // cap)) for r in keyed.groupBy("key").count().where(F.col("count") > cap).collect()]
-    if over:  # large keys: the pairs of sub-blocks are dealt out instead
-        table = spark.createDataFrame(over, "key long, subs int")
-        keyed = keyed.join(F.broadcast(table), "key", "left").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("subs")).cast("int"))
-        other = F.when(F.col("subs").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("subs") - 1))
-        keyed = keyed.select("fp", "key", "own", F.explode(other).alias("other"))
-        keyed = keyed.select("fp", F.when(F.col("other") < 0, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
+    keyed = dealt(distinct.select("fp", F.explode(F.array(*keys)).alias("key")), "fp", total, cap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pa.Table.from_batches(list(batches), schema=pa.schema([("fp", pa.int64()), ("key", pa.int64())]))
@@ -180,7 +201,7 @@ def links(distinct: DataFrame, distance: int = 4, cap: int = 4096) -> DataFrame:
             a, b = _local_links(held["key"].to_numpy(), held["fp"].to_numpy().view(np.uint64), distance)
             yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(b))], names=["a", "b"])
 
-    parts = max(parts, total // 2_000_000)
+    parts = max(parallelism(distinct.sparkSession), total // 2_000_000)
     return keyed.repartition(parts, "key").mapInArrow(run, "a long, b long")
 
 
@@ -214,21 +235,96 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def by_component(rows: DataFrame, groups: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """rows with component_id, the least least_id of the groups (key, least_id, n) that `found` (node, root) gives the root of the row's key."""
+    member = groups.join(found.withColumnRenamed("node", key), key, "left").select(key, "n", "least_id", F.coalesce("root", key).alias("root"))
+    member = stage_table(member, "fp-members")
+    smallest = member.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("fps"))
+    smallest = stage_table(smallest, "fp-components")
+    salts = parallelism(rows.sparkSession)
+    hot = hot_keys(smallest, "root", "fps", groups.count(), 4 * salts)
+    classes = stage_table(salted_join(member, smallest.drop("fps"), "root", hot, salts, key).select(key, "n", "component_id"), "fp-classes")
+    hot = hot_keys(classes, key, "n", rows.count(), 4 * salts)
+    return salted_join(rows, classes.drop("n"), key, hot, salts, "doc_id")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (smallest doc_id reachable)."""
-    spark = docs.sparkSession
     prints = stage_table(fingerprints(docs, shingle), "fingerprints")
     groups = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")), "fp-groups")
     found = components(links(groups.select("fp"), distance), "fp-links")
-    member = groups.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "least_id", F.coalesce("root", "fp").alias("root"))
-    member = stage_table(member, "fp-members")
-    smallest = member.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("fps"))
-    smallest = stage_table(smallest, "fp-components")
-    salts = parallelism(spark)
-    hot = hot_keys(smallest, "root", "fps", groups.count(), 4 * salts)
-    classes = stage_table(salted_join(member, smallest.drop("fps"), "root", hot, salts, "fp").select("fp", "n", "component_id"), "fp-classes")
-    hot = hot_keys(classes, "fp", "n", prints.count(), 4 * salts)
-    return salted_join(prints, classes.drop("n"), "fp", hot, salts, "doc_id").select("doc_id", "fp", "component_id")
+    return by_component(prints, groups, found, "fp").select("doc_id", "fp", "component_id")
+
+
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """A key for each band of min-hashes of a shingle set; none for the empty set."""
+    if not len(shingles):
+        return []
+    least = np.full(len(TIMES), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 1024):
+        np.minimum(least, (shingles[None, at : at + 1024] * TIMES[:, None] + PLUS[:, None]).min(axis=1), out=least)
+    return [xxhash.xxh64_intdigest(x.tobytes(), n) for n, x in enumerate(least.reshape(BANDS, BAND))]
+
+
+def similar_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (i, j) that connect exactly what the pairs of sets with Jaccard similarity of at least `percent` connect."""
+    size = np.array(list(map(len, sets)))
+    names, code = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(code, np.cumsum(size)[:-1])
+    root, mark, found = np.arange(len(sets)), np.zeros(len(names), bool), []
+    for i in range(len(sets) - 1):
+        other = i + 1 + np.flatnonzero((root[i + 1 :] != root[i]) & (100 * np.minimum(size[i], size[i + 1 :]) >= percent * np.maximum(size[i], size[i + 1 :])))
+        if len(other):
+            mark[codes[i]] = True
+            common = np.array([np.count_nonzero(mark[codes[j]]) for j in other])
+            mark[codes[i]] = False
+            for j in other[100 * common >= percent * (size[i] + size[other] - common)].tolist():
+                if root[j] != root[i]:
+                    root[root == root[j]] = root[i]
+                    found.append((i, j))
+    return found
+
+
+def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int = 2048) -> DataFrame:
+    """One row per document: doc_id, text_hash, component_id (smallest doc_id reachable)."""
+
+    def sign(batch: pa.RecordBatch) -> dict:
+        each = [shingle_hashes(t, shingle) for t in binaries(batch.column("text"))]
+        sets = [np.unique(x) for x in each]
+        own = signed(np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64))
+        fps = signed(np.array([majority(x) for x in each], np.uint64))
+        keys = [signed(np.array(band_keys(x), np.uint64)) for x in sets]
+        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "own": own, "fp": fps, "keys": pa.array(keys, pa.list_(pa.int64()))}
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    rows = stage_table(map_arrow(texts, sign, "doc_id long, text_hash long, own long, fp long, keys array<long>"), "signatures")
+    sets = stage_table(rows.groupBy("own").agg(F.min("text_hash").alias("text_hash"), F.min("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")), "shingle-sets")
+    linked = components(links(sets.select("fp").distinct()), "fp-links")
+    rooted = sets.select("own", "fp").join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("own", F.xxhash64(F.coalesce("root", "fp")).alias("key"))
+    keyed = stage_table(sets.select("own", F.explode("keys").alias("key")).union(rooted), "set-keys")
+    held = dealt(keyed, "own", sets.count() * (BANDS + 1), cap)
+    # texts that meet under several keys are compared once
+    groups = held.groupBy("key").agg(F.array_sort(F.collect_set("own")).alias("members")).where(F.size("members") > 1).select("members").distinct()
+    met = stage_table(groups.select(F.xxhash64("members").alias("group"), F.explode("members").alias("own")), "set-groups")
+    wanted = sets.select("own", "text_hash").join(met.select("own").distinct(), "own", "left_semi").select("text_hash")
+    whole = texts.select("text_hash", "text").join(wanted, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+
+    def shingles(batch: pa.RecordBatch) -> dict:
+        sets = [np.unique(shingle_hashes(t, shingle)) for t in binaries(batch.column("text"))]
+        own = signed(np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64))
+        return {"own": own, "shingles": pa.array(list(map(signed, sets)), pa.list_(pa.int64()))}
+
+    def compare(table: pa.Table) -> pa.Table:
+        own, held = table["own"].to_numpy(), table["shingles"].combine_chunks()
+        at = held.offsets.to_numpy()
+        found = similar_sets(np.split(held.values.to_numpy()[at[0] : at[-1]], at[1:-1] - at[0]), percent)
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(own[a]), "b": pa.array(own[b])})
+
+    whole = stage_table(map_arrow(whole, shingles, "own long, shingles array<long>"), "shingles")
+    edges = met.join(whole, "own").select("group", "own", "shingles").groupBy("group").applyInArrow(compare, "a long, b long")
+    found = components(edges, "set-links")
+    return by_component(rows.select("doc_id", "text_hash", "own"), sets.select("own", "least_id", "n"), found, "own").select("doc_id", "text_hash", "component_id")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -23,8 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    gone = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id")
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id stays."""
+    gone = simhash.near_copies(docs).where("doc_id <> component_id").select("doc_id")
     return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 

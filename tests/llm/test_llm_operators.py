@@ -109,6 +109,31 @@ def test_simhash_links_of_large_groups(spark, cap):
     assert sorted(zip(q.tolist(), row.tolist())) == sorted((i, j) for i, j in near.tolist() if i < 50)
 
 
+def test_near_copies(spark, odd_rows):
+    rng = random.Random(7)
+    edited = []
+    for n in range(60):  # texts with words changed here and there: similarity on both sides of 0.8
+        words = prose(rng, 150, 10**6).split()
+        edited.append((300 + 2 * n, " ".join(words), "s0"))
+        for k in rng.sample(range(150), n % 6):
+            words[k] = "edited"
+        edited.append((301 + 2 * n, " ".join(words), "s0"))
+    rows = odd_rows + edited
+    sets = []
+    for _, t, _ in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    near = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a == b or 10 * len(a & b) >= 8 * len(a | b)]
+    assert sum(sets[i] != sets[j] for i, j in near) > 20
+    root = simhash.roots(*np.array(near).T, len(rows))
+    least = {r: min((rows[k][0] for k in np.flatnonzero(root == r) if rows[k][0] is not None), default=None) for r in root.tolist()}
+    key = lambda x: (x[0] is None, x[0] or 0)
+    for cap in (2048, 8):
+        got = simhash.near_copies(frame(spark, rows), cap=cap).collect()
+        assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=key) == sorted(((rows[k][0], least[r]) for k, r in enumerate(root.tolist())), key=key)
+    assert simhash.near_copies(frame(spark, [])).count() == 0
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150)] + [(300, 300 + i) for i in range(1, 150)]
     got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -78,6 +78,13 @@ def test_stages(spark):
     assert sorted(r["doc_id"] for r in mixed) == sorted(now) and all(r["taken"] <= 3 * r["size"] for r in mixed)
 
 
+def test_edited_copies_go(spark):
+    words = [f"w{k}" for k in range(150)]
+    texts = [" ".join(words), " ".join([*words[:60], "edited", *words[61:100], "too", *words[101:]]), " ".join(words[:40] + words[90:])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in P.near_dedup_stage(spark, docs, DIR).collect()) == [0, 2]
+
+
 def test_empty_table_passes_through(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
