@@ -236,14 +236,14 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
 
 
 def by_component(rows: DataFrame, groups: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """rows with component_id, the least least_id of the groups (key, least_id, n) that `found` (node, root) gives the root of the row's key."""
+    """rows with root and component_id, the least least_id of the groups (key, least_id, n) that `found` (node, root) gives the root of the row's key."""
     member = groups.join(found.withColumnRenamed("node", key), key, "left").select(key, "n", "least_id", F.coalesce("root", key).alias("root"))
     member = stage_table(member, "fp-members")
     smallest = member.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("fps"))
     smallest = stage_table(smallest, "fp-components")
     salts = parallelism(rows.sparkSession)
     hot = hot_keys(smallest, "root", "fps", groups.count(), 4 * salts)
-    classes = stage_table(salted_join(member, smallest.drop("fps"), "root", hot, salts, key).select(key, "n", "component_id"), "fp-classes")
+    classes = stage_table(salted_join(member, smallest.drop("fps"), "root", hot, salts, key).select(key, "n", "root", "component_id"), "fp-classes")
     hot = hot_keys(classes, key, "n", rows.count(), 4 * salts)
     return salted_join(rows, classes.drop("n"), key, hot, salts, "doc_id")
 
@@ -286,7 +286,7 @@ def similar_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int = 2048) -> DataFrame:
-    """One row per document: doc_id, text_hash, component_id (smallest doc_id reachable)."""
+    """One row per document: doc_id, text_hash, root (the component), component_id (smallest doc_id reachable)."""
 
     def sign(batch: pa.RecordBatch) -> dict:
         each = [shingle_hashes(t, shingle) for t in binaries(batch.column("text"))]
@@ -324,7 +324,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int =
     whole = stage_table(map_arrow(whole, shingles, "own long, shingles array<long>"), "shingles")
     edges = met.join(whole, "own").select("group", "own", "shingles").groupBy("group").applyInArrow(compare, "a long, b long")
     found = components(edges, "set-links")
-    return by_component(rows.select("doc_id", "text_hash", "own"), sets.select("own", "least_id", "n"), found, "own").select("doc_id", "text_hash", "component_id")
+    return by_component(rows.select("doc_id", "text_hash", "own"), sets.select("own", "least_id", "n"), found, "own").select("doc_id", "text_hash", "root", "component_id")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -23,9 +23,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id stays."""
-    gone = simhash.near_copies(docs).where("doc_id <> component_id").select("doc_id")
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) one row stays: that with the smallest doc_id,
+    of rows with that doc_id that with the smallest text hash, of copies of that row one."""
+    found = simhash.near_copies(docs)
+    rows = found.where("doc_id IS NOT NULL").groupBy("doc_id", "text_hash", "root", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = stage_table(rows, "near-rows")
+    twice = rows.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1").select("doc_id")
+    once = docs.select(COLUMNS).join(rows.where("doc_id <> component_id").select("doc_id").union(twice).distinct(), "doc_id", "left_anti").select(COLUMNS)
+    # rows that share their doc_id with others: few, so that their texts can be moved
+    first = rows.join(twice, "doc_id", "left_semi").where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"))
+    again = docs.select(COLUMNS).withColumn("text_hash", F.xxhash64("text")).join(first.drop("root"), ["doc_id", "text_hash"])
+    rest = F.struct("lang", "source", "n_chars", "text").alias("rest")
+    again = again.groupBy("doc_id", "text_hash").agg(F.min(rest).alias("rest")).select("doc_id", "rest.*").select(COLUMNS)
+    return once.union(again)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,6 +85,15 @@ def test_edited_copies_go(spark):
     assert sorted(r["doc_id"] for r in P.near_dedup_stage(spark, docs, DIR).collect()) == [0, 2]
 
 
+def test_repeated_doc_ids(spark):
+    text = lambda start: " ".join(f"w{k}" for k in range(start, start + 30))
+    rows = [(1, text(0)), (2, text(100)), (2, text(100)), (3, text(0)), (3, text(200)), (4, text(300)), (4, text(400)), (5, text(300)), (5, text(400)), (None, text(0)), (6, text(500))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.near_dedup_stage(spark, docs, DIR)
+    want = [(1, text(0)), (2, text(100)), (3, text(200)), (4, text(300)), (4, text(400)), (6, text(500)), (None, text(0))]
+    assert got.columns == P.COLUMNS and sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_table_passes_through(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
