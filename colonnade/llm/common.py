@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from urllib.parse import urlparse
 
 import numpy as np
@@ -19,32 +21,65 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver share; a temporary one only where none is set (tests)."""
+    """The folder all executors and the driver share; where none is set, a temporary one on a single machine and an error on a cluster."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="colonnade-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+_staged: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _staged.append(path)
+    return path
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A runtime setting, where Spark knows it, for as long as the block runs."""
+    before = spark.conf.get(key, None)
+    if before is not None:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is not None:
+            spark.conf.set(key, before)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back."""
+    """Cut the lineage: write to the shared folder and read back. Shuffle files go when all is written; row groups are small, since a row may be a part's texts."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_table(df: DataFrame) -> None:
-    """Remove the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+def staged() -> list[str]:
+    """Paths in the shared folder that this process made and has not removed, oldest first."""
+    return list(_staged)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged paths that no frame still to be run reads."""
+    for file in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if file in _staged:
+            _staged.remove(file)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+    drop_paths(df.sparkSession, [p for p in _staged if p.rsplit("/", 1)[-1] in names])
 
 
 def open_fs(uri: str):
@@ -66,7 +101,8 @@ def parallelism(spark: SparkSession) -> int:
 
 def binaries(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, b"" for null."""
-    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return [b"" if x is None else x for x in column.cast(kind).to_pylist()]
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None], schema: str | T.StructType) -> DataFrame:
@@ -94,54 +130,92 @@ def as_array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
-def ranges(df: DataFrame, key: str, weight: Column, target: int, cells: int = 4096) -> list[int]:
-    """Upper bounds (inclusive) of consecutive integer-key ranges of about `target` weight each.
+@dataclass
+class Ranges:
+    """Consecutive ranges of an integer key. A range that is one heavy key is dealt over several parts, and so are the null keys."""
 
-    Exact and repeatable: weights are summed in equal-width cells of the key, and a
-    cell above twice the target is cut again. What reaches the driver is at most
-    `cells` sums for each cut, however many rows there are.
-    """
-    span = df.agg(F.min(key).cast("long"), F.max(key).cast("long")).first()
-    if span[0] is None:
-        return []
-    found: list[tuple[int, float]] = []
-
-    def cut(lo: int, hi: int) -> None:
-        width = max(1, -(-(hi - lo + 1) // cells))
-        cell = F.floor((F.col(key).cast("decimal(20,0)") - F.lit(lo)) / F.lit(width)).cast("long")
-        rows = df.where(F.col(key).between(lo, hi)).groupBy(cell.alias("cell")).agg(F.sum(weight).cast("double")).collect()
-        for c, w in sorted((r[0], r[1] or 0.0) for r in rows):
-            a, b = lo + c * width, min(hi, lo + (c + 1) * width - 1)
-            if w > 2 * target and b > a:
-                cut(a, b)
-            else:
-                found.append((b, w))
+    bounds: np.ndarray  # inclusive upper bounds
+    splits: np.ndarray  # parts of each range
+    null_splits: int
+    total: float  # weight of all rows
 
-    cut(*span)
-    bounds, held = [], 0.0
-    for b, w in found:
-        if held and held + w > target:
-            bounds.append(last)
-            held = 0.0
-        held += w
-        last = b
-    return [*bounds, span[1]]
+    def __post_init__(self):
+        self.base = np.concatenate(([0], np.cumsum(self.splits)))[:-1].astype(np.int64)
+
+    def place(self, keys: pa.Array, salts: np.ndarray) -> np.ndarray:
+        """Part of each row, in key order; null keys have negative parts."""
+        null = keys.is_null().to_numpy(zero_copy_only=False)
+        out = -1 - (salts % np.uint64(max(1, self.null_splits))).astype(np.int64)
+        if len(self.bounds) and not null.all():
+            at = np.searchsorted(self.bounds, keys.fill_null(int(self.bounds[0])).to_numpy(zero_copy_only=False))
+            out = np.where(null, out, self.base[at] + (salts % self.splits[at].astype(np.uint64)).astype(np.int64))
+        return out
 
 
-def range_index(key: str, bounds: list[int]) -> Column:
-    """Index of the range that holds the key, by binary search over literals; null keys get -1."""
+def _sums(thin: DataFrame, cells) -> list[tuple[int, float]]:
+    """(cell, weight in all) for cells that are a broadcast (lowest keys, highest keys); summed by batch before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = cells.value
+        for batch in batches:
+            k, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "w"))
+            at = np.minimum(np.searchsorted(high, k), len(high) - 1)
+            inside = (low[at] <= k) & (k <= high[at])
+            found, at = np.unique(at[inside], return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(np.bincount(at, w[inside], minlength=len(found)))], names=["cell", "w"])
 
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(key) <= F.lit(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+    sums = thin.where("k IS NOT NULL").mapInArrow(run, "cell int, w double").groupBy("cell").agg(F.sum("w").alias("w")).collect()
+    return sorted(map(tuple, sums))
 
-    if not bounds:
-        return F.lit(-1)
-    if len(bounds) > 64:  # deep literal trees would outgrow generated methods
-        return F.when(F.col(key).isNull(), -1).otherwise(F.aggregate(F.array(*[F.lit(b).cast("long") for b in bounds]), F.lit(0), lambda n, b: n + F.when(b < F.col(key), 1).otherwise(0)))
-    return F.when(F.col(key).isNull(), -1).otherwise(search(0, len(bounds) - 1))
+
+def ranges(df: DataFrame, key: str, weight: Column, target: float, cells: int = 4096, most: int = 1 << 18) -> Ranges:
+    """Ranges of about `target` weight each, or of a `most`-th of the whole where that is more.
+
+    Exact and repeatable. Keys and weights are written out once; then weights are summed in equal-width cells of the
+    key, and all cells above twice the target are cut into 64 together, in one job a round: two rounds where keys
+    are spread evenly, at most ten for any 64-bit keys. What reaches the driver is a number of sums in proportion to the ranges, of which there are `most` or so.
+    """
+    thin = stage_table(df.select(F.col(key).cast("long").alias("k"), weight.cast("double").alias("w")), "weights")
+    lo, hi, total, empty = thin.agg(F.min("k"), F.max("k"), F.sum("w"), F.sum(F.when(F.col("k").isNull(), F.col("w")))).first()
+    target = max(target, (total or 0.0) / most)
+    null_splits = max(1, int(np.ceil((empty or 0.0) / (2 * target))))
+    done: list[tuple[int, float, bool]] = []
+    open_ = [] if lo is None else [(lo, hi)]
+    step = cells
+    while open_:
+        lows, highs = [], []
+        for a, b in open_:
+            width = max(1, -(-(b - a + 1) // step))
+            lows += range(a, b + 1, width)
+            highs += [min(b, x + width - 1) for x in range(a, b + 1, width)]
+        held = df.sparkSession.sparkContext.broadcast((np.array(lows, np.int64), np.array(highs, np.int64)))
+
+        open_, step = [], 64
+        for n, w in _sums(thin, held):
+            if w > 2 * target and highs[n] > lows[n]:
+                open_.append((lows[n], highs[n]))
+            else:
+                done.append((highs[n], w, highs[n] == lows[n]))
+        held.unpersist()
+    drop_table(thin)
+    bounds, splits, weight_held, last = [], [], 0.0, None
+    for b, w, single in sorted(done):
+        heavy = single and w > 2 * target
+        if last is not None and (heavy or weight_held + w > target):
+            bounds.append(last)
+            splits.append(1)
+            last, weight_held = None, 0.0
+        if heavy:
+            bounds.append(b)
+            splits.append(int(np.ceil(w / target)))
+        else:
+            last, weight_held = b, weight_held + w
+    if last is not None:
+        bounds.append(last)
+        splits.append(1)
+    if bounds:
+        bounds[-1] = hi
+    return Ranges(np.array(bounds, np.int64), np.array(splits, np.int64), null_splits, float(total or 0.0))
 
 
 def hot_keys(counted: DataFrame, key: str, count: str, total: int, share: int) -> list:
@@ -164,14 +238,6 @@ def signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished jobs whose frames are gone."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def pow2(x: float) -> int:
     """Smallest power of two that is x or more."""
     return 1 << max(0, int(np.ceil(np.log2(max(x, 1)))))
@@ -183,10 +249,10 @@ def distinct(a: np.ndarray) -> np.ndarray:
     return a[np.concatenate(([True], a[1:] != a[:-1]))] if len(a) else a
 
 
-def to_ipc(batch: pa.RecordBatch) -> bytes:
+def to_ipc(batch: pa.RecordBatch | pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
+        out.write(batch)
     return sink.getvalue().to_pybytes()
 
 
@@ -194,18 +260,25 @@ def from_ipc(blobs: list[bytes]) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blobs])
 
 
-def packed(df: DataFrame, part: str) -> DataFrame:
-    """(part, rows): the rows of each part, without it, as compressed Arrow streams; made without a shuffle."""
+def wide_texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Strings with 64-bit offsets, so that a part may hold more than 2 GB of text."""
+    kinds = [pa.field(f.name, pa.large_string() if pa.types.is_string(f.type) else f.type) for f in batch.schema]
+    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, kinds)], schema=pa.schema(kinds))
+
+
+def packed(df: DataFrame, parts: Ranges, key: str, salt: str) -> DataFrame:
+    """(part, rows): the rows of each part as compressed Arrow streams, made without a shuffle; `salt` is a long column that deals rows of heavy keys, and is dropped."""
+    held = df.sparkSession.sparkContext.broadcast(parts)  # bounded by the number of ranges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = batch.column(part).to_numpy(zero_copy_only=False)
-            rest = batch.select([c for c in batch.schema.names if c != part])
-            order = np.argsort(parts, kind="stable")
-            cuts = np.flatnonzero(np.diff(parts[order])) + 1
+            part = held.value.place(batch.column(key), batch.column(salt).to_numpy(zero_copy_only=False).view(np.uint64))
+            rest = wide_texts(batch.select([c for c in batch.schema.names if c != salt]))
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order])) + 1
             groups = np.split(order, cuts) if len(order) else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(parts[g[0]]) for g in groups], pa.int32()), pa.array([to_ipc(rest.take(pa.array(g))) for g in groups], pa.binary())], names=[part, "rows"]
+                [pa.array([int(part[g[0]]) for g in groups], pa.int64()), pa.array([to_ipc(rest.take(pa.array(g))) for g in groups], pa.binary())], names=["part", "rows"]
             )
 
-    return df.withColumn(part, F.col(part).cast("int")).mapInArrow(run, f"{part} int, rows binary")
+    return df.mapInArrow(run, "part long, rows binary")
