@@ -7,8 +7,8 @@ it is like; a compression of the whole text, relative to its length, tells of te
 themselves. A logistic curve fitted on labelled texts outside
 the dictionaries turns these sizes into a probability.
 
-The model is fitted on the driver from at most `per_class` labelled rows of each class (the
-first by hash of doc_id) and `per_text` bytes spread over each, so its size is bounded; class weights come from
+The model is fitted on the driver from whole texts of at most `per_class` labelled rows of each class (the
+first by hash of doc_id) with `class_bytes` in all, so its size is bounded; class weights come from
 counts over all labelled rows. Every whole text is scored.
 
 Defined results: null text is empty and gets the score of empty texts; null labels and labels
@@ -32,18 +32,32 @@ from pyspark.sql import functions as F
 from .common import binaries, map_arrow
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int) -> tuple[dict[int, list[tuple[int, bytes]]], dict[int, int]]:
-    """Up to per_class whole texts of each class, in hash order, and the class counts over all learnable labels."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int, class_bytes: int) -> tuple[dict[int, list[tuple[int, bytes]]], dict[int, int]]:
+    """Whole texts of up to per_class rows of each class, in hash order, of class_bytes at most in all, and the class counts over all learnable labels.
+
+    A row that no longer fits is passed over; of equal rows one counts. Sizes are read before any text is.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").where(learn)
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     spark = docs.sparkSession
-    picked = [(r["doc_id"], r["y"]) for y in counts for r in known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
     out: dict[int, list[tuple[int, bytes]]] = {0: [], 1: []}
-    if picked:
-        chosen = F.broadcast(spark.createDataFrame(picked, "doc_id long, y int").distinct())  # at most two times per_class rows
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").orderBy("doc_id", "text").toLocalIterator()
-        for r in rows:
-            out[r["y"]].append((r["doc_id"], (r["text"] or "").encode()))
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    picked = [(r["doc_id"], r["y"]) for y in counts for r in known.where(F.col("y") == y).distinct().orderBy(*order[:2]).limit(per_class).collect()]
+    if not picked:
+        return out, counts
+    chosen = F.broadcast(spark.createDataFrame(picked, "doc_id long, y int"))  # at most two times per_class rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    sizes = texts.join(chosen, "doc_id").groupBy("doc_id", "y", "h").agg(F.first(F.octet_length("text")).alias("size"))
+    fits = []
+    for y in counts:
+        left = class_bytes
+        for r in sizes.where(F.col("y") == y).orderBy(*order).limit(per_class).collect():
+            if r["size"] <= left:
+                left -= r["size"]
+                fits.append((r["doc_id"], y, r["h"]))
+    wanted = F.broadcast(spark.createDataFrame(fits, "doc_id long, y int, h long"))
+    for r in texts.join(wanted, ["doc_id", "h"]).groupBy("doc_id", "y", "h").agg(F.first("text").alias("text")).orderBy("doc_id", "h").toLocalIterator():
+        out[r["y"]].append((r["doc_id"], r["text"].encode()))
     return out, counts
 
 
@@ -63,6 +77,13 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return w
 
 
+def pieces_of(text: bytes, piece: int) -> list[bytes]:
+    """The whole text in pieces of nearly equal length, `piece` bytes at most; one empty piece of an empty text."""
+    n = max(1, -(-len(text) // piece))
+    cuts = [len(text) * k // n for k in range(n + 1)]
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 @dataclass
 class CompressionModel:
     good: bytes = b""
@@ -91,13 +112,11 @@ class CompressionModel:
         good, bad, plain = self._tools
         g = b = 0
         worst, best = 1.0, -1.0
-        for at in range(0, max(1, len(text)), self.piece):
-            part = text[at : at + self.piece]
+        for part in pieces_of(text, self.piece):
             x, y = len(good(part)), len(bad(part))
             g, b = g + x, b + y
-            if len(part) == self.piece or not at:
-                d = (y - x) / (x + y)
-                worst, best = min(worst, d), max(best, d)
+            d = (y - x) / (x + y)
+            worst, best = min(worst, d), max(best, d)
         return [(b - g) / (b + g), worst, best, np.log(g / (len(text) + 16)), np.log(len(plain(text)) / (len(text) + 16)), np.log(len(text) + 16)]
 
     def expand(self, x: np.ndarray) -> np.ndarray:
@@ -114,7 +133,7 @@ class CompressionModel:
         return 1 / (1 + np.exp(-np.clip(self.expand(x) @ self.weights, -30, 30)))
 
 
-def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], piece: int = 512, dictionary: int = 112_640, per_text: int = 4096, share: float = 0.4) -> CompressionModel:
+def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], piece: int = 512, dictionary: int = 112_640, share: float = 0.4) -> CompressionModel:
     """Dictionaries from `share` of the sampled texts of each class, the curve from the rest."""
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 1.0
@@ -126,11 +145,7 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], piece
         rows = sorted(rows)
         order.shuffle(rows)
         n = max(4, int(len(rows) * share))
-        pieces = []
-        for _, t in rows[:n]:
-            own = [t[at : at + piece] for at in range(0, len(t), piece)]
-            pieces += order.sample(own, min(len(own), per_text // piece))
-        cut[y], rest[y] = pieces, rows[n:]
+        cut[y], rest[y] = [p for _, t in rows[:n] for p in pieces_of(t, piece)], rows[n:]
     try:
         raw = {y: zstandard.train_dictionary(dictionary, cut[y]).as_bytes() for y in (0, 1)}
     except zstandard.ZstdError:  # too few pieces to train on: their own bytes serve as the dictionary
@@ -145,15 +160,15 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], piece
     return model
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, per_class: int = 4000, threshold: float = 0.3) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, per_class: int = 4000, class_bytes: int = 12_000_000, threshold: float = 0.3) -> DataFrame:
     """One row per document: doc_id, score (0 to 1, higher: label 1 likelier), predicted."""
-    model = fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class))
+    model = fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class, class_bytes))
     return apply(docs, model, threshold)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, per_class: int = 4000, threshold: float = 0.3) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, per_class: int = 4000, class_bytes: int = 12_000_000, threshold: float = 0.3) -> DataFrame:
     """The documents that classify() predicts 1 for, all columns kept."""
-    model = fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class))
+    model = fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class, class_bytes))
     held = docs.sparkSession.sparkContext.broadcast(model)  # a bounded model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,15 +1,20 @@
 """Toxicity by a gapped-subsequence string kernel, Nyström landmarks and a linear SVM.
 
-A text's words, with ASCII punctuation taken out, digits that stand for letters put back and
-single letters in a row joined, are its strings. The kernel of two strings sums the
+A token's string is its letters in lower case, with ASCII punctuation taken out and digits that stand for letters put back;
+single letters in a row are one string. The kernel of two strings sums the
 subsequences of three letters they share, weighted by decay ** (letters spanned, `span` at
-most) on either side, so inserted letters and gaps cost little. Landmarks are strings that are typical of
-toxic training texts, and the clean strings closest to those. A sentence is its best kernel value
-with each landmark, mapped by Nyström; the SVM learns from labelled sentences, a text's
-decision is that of its worst sentence, and a logistic curve makes it a probability.
+most) on either side, normalised and raised to `power`, so inserted letters and gaps cost little. The kernel of two
+sentences is the sum over the pairs of their strings. Nyström landmarks are strings picked from the training
+sentences by pivoted Cholesky. The SVM learns from labelled sentences: those of a clean text are clean, and of those of a toxic text
+the ones that the SVM of the round before finds toxic, the foremost at least (multiple instances); their foremost strings with a letter put in are
+toxic too. A text's score is a logistic curve of its foremost sentences' decisions, and of how many its toxic sentences and strings are, and how dense.
 
-Fitted on the driver from at most `per_class` labelled rows of each class. Every whole
-text is scored; a string is judged once for a task and remembered while the cache has room.
+The SVM being linear in a sum over strings, each different string has one value; it is worked out once by a Python worker and
+remembered while the cache has room, so a text costs a look-up a token.
+
+Fitted on the driver from whole texts of at most `per_class` labelled rows of each class with `class_bytes` in all. Every whole
+text is scored. Parameters of the kernel: subsequences of 3 letters (shorter strings count nothing) that span up to 8; letters other than a-z in 37 classes.
+Tokens over 24 letters are taken in windows of 24 with 12 letters overlap, the foremost of which counts; sentences over 32 tokens in pieces of 32.
 
 Defined results: as for the quality classifier; without labels of both classes every score is
 the share of label 1 (0 with no labels at all).
@@ -30,27 +35,29 @@ from pyspark.sql import functions as F
 from .quality import apply, logistic, sample
 
 # Digits and signs that stand for letters.
-STANDS_FOR = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ013457@", b"abcdefghijklmnopqrstuvwxyzoieasta")
-PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "@")
-SPACED = re.compile(rb"(?<!\S)[a-z](?:[ \t][a-z]){2,}(?!\S)")
-SENTENCE = re.compile(rb"[.!?]+\s+|\n+")
-LONGEST, STEP = 24, 12
+STANDS_FOR = str.maketrans("013457@", "oieasta")
+DROPPED = str.maketrans("", "", "!\"#$%&'()*+,-./:;<=>?[\\]^_`{|}~")
+SENTENCE_END = re.compile(r"[.!?][\"')\]]*$")
+LONGEST, STEP, PIECE = 24, 12, 32
+LETTERS = 64
+
+BENT_WEIGHT = 1.6  # of toxic texts with letters put in, against the texts themselves
+MARKS = (0.3, 0.7, 1.3, 2.2)  # values from which a string counts as toxic, on four scales
+BREAK = "\x00"
+
 
+def string_of(token: str) -> str:
+    return token.translate(DROPPED).translate(STANDS_FOR)
 
-def strings(text: bytes) -> list[bytes]:
-    """The strings of a text that the kernel looks at; long ones in overlapping windows."""
-    plain = text.translate(STANDS_FOR, PUNCTUATION)
-    words = plain.split()
-    words += [x.translate(None, b" \t") for x in SPACED.findall(plain)]
-    if len(plain) > LONGEST and max(map(len, words), default=0) > LONGEST:
-        words = [w[at : at + LONGEST] for w in words for at in range(0, max(1, len(w) - LONGEST + STEP), STEP)]
-    return words
 
+def windows(string: str) -> list[str]:
+    return [string] if len(string) <= LONGEST else [string[at : at + LONGEST] for at in range(0, len(string) - LONGEST + STEP, STEP)]
 
-def coded(words: list[bytes]) -> np.ndarray:
-    """Letters of strings of one length as codes: a-z are 1 to 26, other bytes share 27 to 31."""
-    raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1).astype(np.int32)
-    return np.where((raw >= 97) & (raw <= 122), raw - 96, 27 + raw % 5)
+
+def coded(words: list[str]) -> np.ndarray:
+    """Letters of strings of one length as codes: a-z are 0 to 25, others share 26 to 62."""
+    raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1).astype(np.int64)
+    return np.where((raw >= 97) & (raw <= 122), raw - 97, 26 + raw % 37)
 
 
 @lru_cache(maxsize=64)
@@ -61,13 +68,19 @@ def places(length: int, span: int) -> tuple[np.ndarray, np.ndarray]:
     return at, at[:, 2] - at[:, 0] + 1
 
 
-def subsequences(word: bytes, span: int, decay: float) -> dict[int, float]:
+def triples(words: list[str], span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the subsequences of strings of one length, a row each, and the spans of the columns."""
+    at, wide = places(len(words[0]), span)
+    c = coded(words)
+    return (c[:, at[:, 0]] * LETTERS + c[:, at[:, 1]]) * LETTERS + c[:, at[:, 2]], wide
+
+
+def subsequences(word: str, span: int, decay: float) -> dict[int, float]:
     """Weight of each three-letter subsequence of a string: decay ** letters spanned, summed over its places."""
     out: dict[int, float] = {}
     if len(word) >= 3:
-        at, wide = places(len(word), span)
-        c = coded([word])[0]
-        for code, w in zip((c[at[:, 0]] * 1024 + c[at[:, 1]] * 32 + c[at[:, 2]]).tolist(), (decay**wide).tolist()):
+        codes, wide = triples([word], span)
+        for code, w in zip(codes[0].tolist(), (decay**wide).tolist()):
             out[code] = out.get(code, 0.0) + w
     return out
 
@@ -78,164 +91,295 @@ def kernel(a: dict[int, float], b: dict[int, float]) -> float:
 
 @dataclass
 class KernelModel:
-    landmarks: list[bytes] = field(default_factory=list)
+    landmarks: list[str] = field(default_factory=list)
     span: int = 8
-    decay: float = 0.85
-    power: int = 2  # of the normalised kernel, which stays a kernel and tells near from far more sharply
-    least: float = 0.45  # of a landmark's own kernel: below it a string counts as unlike the landmark
-    nystrom: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    decay: float = 0.8
+    power: int = 3  # of the normalised kernel, which stays a kernel and tells near from far more sharply
+    beta: np.ndarray = field(default_factory=lambda: np.zeros(0))  # a string's value is beta times its kernels with the landmarks
+    bias: float = 0.0
     curve: np.ndarray = field(default_factory=lambda: np.zeros(0))
     prior: float = 0.0
-    room: int = 400_000
-    _known: set = field(default_factory=set)
-    _near: dict = field(default_factory=dict)
+    room: int = 500_000
+    name: int = 0
     _table: tuple | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_known": set(), "_near": {}, "_table": None}
+        return self.__dict__ | {"_table": None}
 
-    def table(self) -> tuple[np.ndarray, ...]:
-        """Row of each subsequence code, the landmarks' weights by row, the landmarks' own kernels, the best relative weight by row."""
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each subsequence code (0: no landmark has it), and the landmarks' weights by row, each landmark normalised."""
         if self._table is None:
             each = [subsequences(w, self.span, self.decay) for w in self.landmarks]
             codes = sorted({c for x in each for c in x})
-            row = np.zeros(32768, np.int32)
+            row = np.zeros(LETTERS**3, np.int32)
             row[codes] = np.arange(1, len(codes) + 1)
             weight = np.zeros((len(codes) + 1, len(each)), np.float32)
             for j, x in enumerate(each):
+                own = kernel(x, x) ** 0.5
                 for c, w in x.items():
-                    weight[row[c], j] = w
-            own = np.array([kernel(x, x) for x in each], np.float32)
-            self._table = (row, weight, own, (weight / own).max(axis=1))
+                    weight[row[c], j] = w / own
+            self._table = (row, weight)
         return self._table
 
-    def learn_strings(self, words: set[bytes]) -> None:
-        """Judge strings not seen yet; _near holds the vector of each one that resembles a landmark."""
-        row, weight, own, best = self.table()
-        new = [w for w in words - self._known if len(w) >= 3]
-        self._known |= words
-        by_length: dict[int, list[bytes]] = {}
-        for w in new:
-            by_length.setdefault(len(w), []).append(w)
-        for length, group in by_length.items():
-            at, wide = places(length, self.span)
-            decay = (self.decay**wide).astype(np.float32)
-            for lo in range(0, len(group), 2048):
-                part = group[lo : lo + 2048]
-                c = coded(part)
-                rows = row[c[:, at[:, 0]] * 1024 + c[:, at[:, 1]] * 32 + c[:, at[:, 2]]]
-                some = np.flatnonzero(best[rows] @ decay >= self.least)  # no other can reach it
-                if not len(some):
+    def kernels(self, words: list[str]) -> np.ndarray:
+        """Normalised kernel, to the power, of each string (of 24 letters at most) with each landmark."""
+        row, weight = self.table()
+        out = np.zeros((len(words), len(self.landmarks)), np.float32)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for length in np.unique(lengths[lengths >= 3]).tolist():
+            group = np.flatnonzero(lengths == length)
+            for lo in range(0, len(group), 512):
+                part = group[lo : lo + 512]
+                codes, wide = triples([words[i] for i in part.tolist()], self.span)
+                decay = (self.decay**wide).astype(np.float32)
+                rows = row[codes]
+                i, t = np.nonzero(rows)
+                if not len(i):
                     continue
-                i, t = np.nonzero(rows[some])
-                k = np.zeros((len(some), len(self.landmarks)), np.float32)
                 cuts = np.flatnonzero(np.diff(i, prepend=-1))
-                k[i[cuts]] = np.add.reduceat(weight[rows[some][i, t]] * decay[t, None], cuts, axis=0)
-                for j in np.flatnonzero((k >= self.least * own).any(axis=1)).tolist():
-                    word = part[some[j]]
-                    mine = subsequences(word, self.span, self.decay)
-                    self._near[word] = np.where(k[j] >= self.least * own, (k[j] / np.sqrt(own * kernel(mine, mine))) ** self.power, 0)
-
-    def features(self, sentences: list[list[bytes]]) -> np.ndarray:
-        """Best kernel value of each sentence with each landmark."""
-        self.learn_strings({w for s in sentences for w in s})
-        out = np.zeros((len(sentences), len(self.landmarks)))
-        for i, s in enumerate(sentences):
-            for w in s:
-                if (near := self._near.get(w)) is not None:
-                    np.maximum(out[i], near, out=out[i])
+                met = i[cuts]
+                k = np.add.reduceat(weight[rows[i, t]] * decay[t, None], cuts, axis=0)
+                order = np.argsort(codes[met], axis=1, kind="stable")  # the strings' own kernels
+                same = np.take_along_axis(codes[met], order, axis=1)
+                run = np.concatenate((np.ones((len(met), 1), bool), same[:, 1:] != same[:, :-1]), axis=1).ravel()
+                starts = np.flatnonzero(run)
+                sums = np.add.reduceat(decay[order].ravel(), starts) ** 2
+                own = np.bincount(starts // codes.shape[1], sums, minlength=len(met))
+                out[part[met]] = (k / np.sqrt(own)[:, None].astype(np.float32)) ** self.power
         return out
 
-    def decide(self, features: np.ndarray) -> np.ndarray:
-        return np.column_stack([features @ self.nystrom, np.ones(len(features))]) @ self.weights
-
-    def decisions(self, texts: list[bytes]) -> np.ndarray:
-        """Decision of each text's worst sentence; the sentences are only cut where a string resembles a landmark."""
-        each = [strings(t) for t in texts]
-        if len(self._known) > self.room:
-            self._known, self._near = set(), {}
-        self.learn_strings(set().union(*each))
-        near = self._near
-        out = np.full(len(texts), self.decide(np.zeros((1, len(self.landmarks))))[0])
-        suspects = [i for i, words in enumerate(each) if not near.keys().isdisjoint(words)]
-        if suspects:
-            cut = [(i, strings(s)) for i in suspects for s in SENTENCE.split(texts[i])]
-            self.learn_strings({w for _, s in cut for w in s})
-            cut = [(i, s) for i, s in cut if not near.keys().isdisjoint(s)]
-            whole = {i: [] for i in suspects}
-            for (i, _), d in zip(cut, self.decide(self.features([s for _, s in cut]))):
-                whole[i].append(d)
-            for i, d in whole.items():
-                out[i] = max([out[i], *d])
-        return out
+    def values(self, strings: list[str]) -> np.ndarray:
+        """The value of each string; of a long one its foremost window's."""
+        cut = [windows(s) for s in strings]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        flat = [w for x in cut for w in x]
+        found = np.concatenate([self.kernels(flat[at : at + 8192]) @ self.beta for at in range(0, len(flat), 8192)] or [np.empty(0)])
+        return np.maximum.reduceat(found, np.cumsum(sizes) - sizes) if len(strings) else found
+
+    def features(self, tokens: list[list[str]]) -> np.ndarray:
+        """Of each text, given as tokens: its three foremost sentences' decisions, the number of toxic sentences, and the number and density of toxic strings."""
+        known = _Known.of(self)
+        n = len(tokens)
+        sizes = np.fromiter(map(len, tokens), np.int64, n)
+        flat = [t for x in tokens for t in x]
+        top = np.full((n, 3), -1.0)  # of sentences that are not there
+        if not flat:
+            return np.column_stack([top, np.zeros((n, 1 + 2 * len(MARKS))), np.ones(n)])
+        marks, doc = known.look_up(flat), np.repeat(np.arange(n), sizes)
+        value, single = known.value[marks], known.single[marks]
+        fresh = np.concatenate(([True], doc[1:] != doc[:-1]))
+        begins = sentence_begins(known.ends[marks], fresh)
+        for a, b in single_runs(single, begins):
+            value[a] += self.values(["".join(map(string_of, flat[a:b]))])[0]
+        starts = piece_starts(begins)
+        decision = np.clip(np.add.reduceat(value, starts) + self.bias, -3, 3)
+        own = doc[starts]
+        order = np.lexsort((-decision, own))
+        rank = np.arange(len(order)) - np.searchsorted(own, own[order])
+        for k in range(3):
+            at = order[rank == k]
+            top[own[at], k] = decision[at]
+        marked = np.column_stack([np.bincount(doc, np.clip(2 * (value / mark - 1), 0, 1), minlength=n) for mark in MARKS])
+        return np.column_stack([top, np.log1p(np.bincount(own, decision > 0, minlength=n)), np.log1p(marked), np.log1p(200 * marked / (sizes[:, None] + 20)), np.ones(n)])
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not self.landmarks:
             return np.full(len(texts), self.prior)
-        d = self.decisions(texts)
-        return 1 / (1 + np.exp(-np.clip(np.column_stack([d, np.ones(len(d))]) @ self.curve, -30, 30)))
+        x = self.features([tokens_of(t.decode(errors="replace")) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(x @ self.curve, -30, 30)))
+
+
+class _Known:
+    """What a worker remembers of a model: each token's value, and whether it ends a sentence or is a single letter."""
+
+    last: "_Known | None" = None
+
+    def __init__(self, model: KernelModel):
+        self.model, self.index, self.strings = model, {}, {}
+        self.value, self.ends, self.single = np.empty(0, np.float32), np.empty(0, bool), np.empty(0, bool)
+
+    @classmethod
+    def of(cls, model: KernelModel) -> "_Known":
+        if cls.last is None or cls.last.model is not model and cls.last.model.name != model.name:
+            cls.last = cls(model)
+        return cls.last
+
+    def look_up(self, tokens: list[str]) -> np.ndarray:
+        new = set(tokens).difference(self.index)
+        if len(self.index) + len(new) > self.model.room and self.index:
+            self.__init__(self.model)
+            new = set(tokens)
+        if new:
+            listed = sorted(new)
+            strings = [string_of(t) for t in listed]
+            fresh = sorted(set(strings).difference(self.strings))
+            self.strings.update(zip(fresh, self.model.values(fresh).tolist()))
+            at = len(self.index)
+            self.index.update(zip(listed, range(at, at + len(listed))))
+            self.value = np.concatenate([self.value, np.array([self.strings[s] for s in strings], np.float32)])
+            self.ends = np.concatenate([self.ends, np.array([t == BREAK or bool(SENTENCE_END.search(t)) for t in listed])])
+            self.single = np.concatenate([self.single, np.array([len(s) == 1 and s.isalpha() for s in strings])])
+        return np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
+
+
+def tokens_of(text: str) -> list[str]:
+    return text.lower().replace("\n", f" {BREAK} ").split()
+
+
+def sentence_begins(ends: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    return fresh | np.concatenate(([True], ends[:-1]))
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Linear SVM with squared hinge loss by Newton steps over the rows inside the margin; y is -1 or 1."""
-    w = np.zeros(x.shape[1])
+def piece_starts(start: np.ndarray) -> np.ndarray:
+    """Where a sentence, or the next piece of a long one, begins."""
+    at = np.arange(len(start))
+    return np.flatnonzero(start | ((at - np.maximum.accumulate(np.where(start, at, 0))) % PIECE == 0))
+
+
+def single_runs(single: np.ndarray, start: np.ndarray) -> list[tuple[int, int]]:
+    """[start, end) of three single letters or more in a row, in one sentence."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], single.astype(np.int8), [0]))))
+    out = []
+    for a, b in edge.reshape(-1, 2).tolist():
+        cuts = [a, *(x for x in range(a + 1, b) if start[x]), b]
+        out += [(x, y) for x, y in zip(cuts, cuts[1:]) if y - x >= 3]
+    return out
+
+
+def sentences_of(tokens: list[str]) -> list[tuple[str, ...]]:
+    """The sentences of a text as strings of three letters or more, long ones in windows."""
+    if not tokens:
+        return []
+    strings = [string_of(t) for t in tokens]
+    fresh = np.zeros(len(tokens), bool)
+    fresh[0] = True
+    ends = np.array([t == BREAK or bool(SENTENCE_END.search(t)) for t in tokens])
+    begins = sentence_begins(ends, fresh)
+    for a, b in single_runs(np.array([len(s) == 1 and s.isalpha() for s in strings]), begins):
+        strings[a] = "".join(strings[a:b])
+    starts = piece_starts(begins).tolist()
+    return [tuple(w for s in strings[a:b] for w in windows(s) if len(w) >= 3) for a, b in zip(starts, [*starts[1:], len(tokens)])]
+
+
+def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, start: np.ndarray | None = None) -> np.ndarray:
+    """Linear SVM with squared hinge loss by Newton steps over the rows inside the margin; y is -1 or 1, the last column of x the constant."""
+    w = np.zeros(x.shape[1]) if start is None else start
     pull = np.full(len(w), ridge * weight.sum())
-    for _ in range(60):
+    pull[-1] *= 1e-3
+    for _ in range(20):
         inside = y * (x @ w) < 1
-        xi, wi = x[inside], weight[inside]
+        xi, wi = x[inside].astype(np.float64), weight[inside]
         new = np.linalg.solve((xi * wi[:, None]).T @ xi + np.diag(pull), xi.T @ (wi * y[inside]))
-        if np.abs(new - w).max() < 1e-7:
+        if np.abs(new - w).max() < 1e-3:
             break
         w = new
     return w
 
 
-def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic_marks: int = 120, clean_marks: int = 30) -> KernelModel:
+def pivots(gram: np.ndarray, weight: np.ndarray, n: int) -> list[int]:
+    """Rows picked one after the other by weight times what the rows picked before leave unexplained (pivoted Cholesky)."""
+    left, rows, picked = np.diag(gram).astype(np.float64).copy(), np.zeros((0, len(gram))), []
+    for _ in range(min(n, len(gram))):
+        gain = weight * left
+        at = int(gain.argmax())
+        if gain[at] <= 1e-9 or left[at] < 0.02:
+            break
+        row = (gram[at] - rows[:, at] @ rows) / np.sqrt(left[at])
+        left = np.maximum(0, left - row**2)
+        left[at] = 0
+        rows, picked = np.vstack([rows, row]), [*picked, at]
+    return picked
+
+
+def bent(string: str, chance: random.Random) -> str:
+    """The string with a letter put in."""
+    at = chance.randrange(1, max(2, len(string)))
+    return string[:at] + chr(chance.randrange(97, 123)) + string[at:]
+
+
+def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic_marks: int = 160, clean_marks: int = 64, rounds: int = 5, ridge: float = 1e-5, power: int = 3, bent_share: float = 0.25, seed: int = 11) -> KernelModel:
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
-    # strings are counted over different sentences, so that copies of a text count once
-    cut = {y: {s for _, t in texts[y] for s in SENTENCE.split(t)} for y in (0, 1)}
-    bags = {y: [(s, strings(s)) for s in sorted(cut[y])] for y in (0, 1)}
-    found, usual = (Counter(w for _, bag in bags[y] for w in set(bag) if 3 <= len(w) <= 16) for y in (1, 0))
-    if not bags[0] or not bags[1]:
+    if not texts[0] or not texts[1]:
         return KernelModel(prior=prior)
-    lift = lambda w: np.log((found[w] + 0.5) / (len(bags[1]) + 1)) - np.log((usual[w] + 0.5) / (len(bags[0]) + 1))
-    typical = [w for w in found if found[w] >= max(2, 0.01 * len(texts[1])) and lift(w) > 2]
-    typical = sorted(typical, key=lambda w: (-found[w] * lift(w), w))[:toxic_marks]
-    if not typical:
+    chance = random.Random(seed)
+    tokens = {y: [tokens_of(t.decode(errors="replace")) for _, t in texts[y]] for y in (0, 1)}
+    bags = {y: [sorted(set(sentences_of(t))) for t in tokens[y]] for y in (0, 1)}
+    # strings are counted over different sentences, so that copies of a text count once
+    each = {y: sorted({s for bag in bags[y] for s in bag}) for y in (0, 1)}
+    found, usual = (Counter(w for s in each[y] for w in set(s)) for y in (1, 0))
+    lift = {w: np.log((n + 0.5) / (len(each[1]) + 1)) - np.log((usual[w] + 0.5) / (len(each[0]) + 1)) for w, n in found.items() if n >= 2}
+    pool = sorted((w for w in lift if lift[w] > 0.5), key=lambda w: (-found[w] * lift[w], w))[:1200]
+    if not pool:
         return KernelModel(prior=prior)
-    model = KernelModel(landmarks=typical, prior=prior)
-    common = [w for w, n in sorted(usual.items(), key=lambda x: (-x[1], x[0]))[:4000] if n >= 2]
-    model.learn_strings(set(common))
-    close = sorted((w for w in common if w in model._near), key=lambda w: (-model._near[w].max(), w))[:clean_marks]
-    model = KernelModel(landmarks=typical + close, prior=prior)
-    each = [subsequences(w, model.span, model.decay) for w in model.landmarks]
-    own = np.sqrt([kernel(x, x) for x in each])
-    gram = np.array([[kernel(x, y) for y in each] for x in each]) / np.outer(own, own)
-    gram **= model.power
-    value, vector = np.linalg.eigh(gram)
-    model.nystrom = vector / np.sqrt(np.maximum(value, 1e-3))
-    # a toxic text's sentences are toxic where they hold a typical string; all sentences of clean texts are clean
-    mark = set(typical)
-    toxic = [words for _, words in bags[1] if not mark.isdisjoint(words)]
-    model.learn_strings({w for _, words in bags[0] for w in words})
-    clean = [words for _, words in bags[0] if not model._near.keys().isdisjoint(words)]
-    # and toxic strings with a letter put in count as toxic sentences of their own
-    chance = random.Random(11)
-    bent = [[w[:i] + bytes([chance.randrange(97, 123)]) + w[i:]] for w in typical for i in sorted(chance.sample(range(1, len(w)), min(3, len(w) - 1)))]
-    sentences = {1: toxic + bent, 0: [*clean, []]}
-    x = np.vstack([model.features(sentences[1]), model.features(sentences[0])])
-    y = np.array([1.0] * len(sentences[1]) + [-1.0] * len(sentences[0]))
-    weight = np.where(y > 0, 0.5 / max(1, len(sentences[1])), 0.5 / max(1, len(sentences[0])))
-    model.weights = svm(np.column_stack([x @ model.nystrom, np.ones(len(x))]), y, weight)
-    d = np.concatenate([model.decisions([t for _, t in texts[y]]) for y in (1, 0)])
-    y = np.array([1] * len(texts[1]) + [0] * len(texts[0]))
-    weight = np.where(y == 1, prior / len(texts[1]), (1 - prior) / len(texts[0])) * len(y)
-    model.curve = logistic(np.column_stack([d, np.ones(len(d))]), y, weight, ridge=1e-5)
+    model = KernelModel(landmarks=pool, prior=prior, power=power)
+    toxic = [pool[i] for i in pivots(model.kernels(pool).astype(np.float64), np.array([found[w] * lift[w] for w in pool]), toxic_marks)]
+    # and the clean strings that are most like those, by how usual they are
+    model = KernelModel(landmarks=toxic, prior=prior, power=power)
+    clean = sorted(usual, key=lambda w: (-usual[w], w))[:20_000]
+    near = model.kernels(clean).max(axis=1) * np.log1p([usual[w] for w in clean])
+    clean = [clean[i] for i in np.argsort(-near, kind="stable")[:600].tolist() if clean[i] not in set(toxic)]
+    model = KernelModel(landmarks=clean, prior=prior, power=power)
+    clean = [clean[i] for i in pivots(model.kernels(clean).astype(np.float64), np.ones(len(clean)), clean_marks)] if clean else []
+    model = KernelModel(landmarks=toxic + clean, prior=prior, power=power)
+    value, vector = np.linalg.eigh(model.kernels(model.landmarks).astype(np.float64))
+    nystrom = (vector / np.sqrt(np.maximum(value, 1e-2))).astype(np.float32)
+
+    words = {w: n for n, w in enumerate(sorted({*found, *usual}))}
+    mapped = np.concatenate([model.kernels(part) @ nystrom for part in _blocks(list(words), 8192)])
+
+    def rows(sentences: list[tuple[str, ...]]) -> np.ndarray:
+        out = np.zeros((len(sentences), mapped.shape[1] + 1), np.float32)
+        out[:, -1] = 1
+        for n, s in enumerate(sentences):
+            if s:
+                out[n, :-1] = mapped[[words[w] for w in s]].sum(axis=0)
+        return out
+
+    place = {s: n for n, s in enumerate(each[1])}
+    members = [np.array([place[s] for s in bag], np.int64) for bag in bags[1] if bag]
+    x1, x0 = rows(each[1]), rows(each[0])
+    share = np.zeros(len(x1))  # a text's weight is shared by its toxic sentences
+    for m in members:
+        share[m] += 1 / len(m)
+    extra, weights = np.zeros((0, x1.shape[1]), np.float32), None
+    for turn in range(rounds):
+        x = np.vstack([x1, extra, x0])
+        picked = share > 0
+        y = np.concatenate([np.where(picked, 1.0, -1.0), np.ones(len(extra)), -np.ones(len(x0))])
+        weight = np.concatenate([np.where(picked, (0.45 - bent_share) * share / share.sum(), 0.05 / len(x1)), np.full(len(extra), bent_share / max(1, len(extra))), np.full(len(x0), 0.5 / len(x0))])
+        weights = svm(x, y, weight, max(ridge, 2 / len(x)), weights)
+        decision = x1 @ weights
+        share = np.zeros(len(x1))
+        for m in members:
+            hit = m[decision[m] > 0]
+            hit = hit if len(hit) else m[[int(decision[m].argmax())]]
+            share[hit] += 1 / len(hit)
+        worth = mapped @ weights[:-1]
+        marks = sorted({max(s, key=lambda w: (worth[words[w]], w)) for s in (each[1][n] for n in np.flatnonzero(share > 0)) if s})
+        marks = [w for w in marks if worth[words[w]] > 0.5][:2000]
+        bends = [bent(w, chance) for w in marks for _ in range(2)]
+        extra = np.column_stack([model.kernels(bends) @ nystrom, np.ones(len(bends))]).astype(np.float32) if bends and turn else extra
+    model.beta, model.bias = (nystrom @ weights[:-1]).astype(np.float32), float(weights[-1])
+    model.name = hash((tuple(model.landmarks), model.beta.tobytes(), model.bias))
+
+    # the curve learns from all sampled texts, and from the toxic ones with letters put into their foremost strings
+    known = _Known.of(model)
+    twisted = []
+    for t in tokens[1] * 3:
+        marks = known.look_up(t)
+        twisted.append([bent(x, chance) if v > 0.5 else x for x, v in zip(t, known.value[marks])])
+    x = model.features([*tokens[1], *twisted, *tokens[0]])
+    y = np.repeat([1, 1, 0], [len(tokens[1]), len(twisted), len(tokens[0])])
+    weight = np.repeat([prior / len(tokens[1]), BENT_WEIGHT * prior / len(twisted), (1 - prior) / len(tokens[0])], [len(tokens[1]), len(twisted), len(tokens[0])]) * len(y)
+    model.curve = logistic(x, y, weight, ridge=3e-3)
     return model
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 1500, threshold: float = 0.7) -> DataFrame:
+def _blocks(items: list, size: int) -> list[list]:
+    return [items[at : at + size] for at in range(0, len(items), size)]
+
+
+def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 1500, class_bytes: int = 3_000_000, threshold: float = 0.7) -> DataFrame:
     """One row per document: doc_id, score (0 to 1, higher: label 1 likelier), predicted."""
-    return apply(docs, fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class)), threshold)
+    return apply(docs, fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class, class_bytes)), threshold)
