@@ -5,8 +5,10 @@ import hashlib
 import random
 import re
 import zlib
+from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -58,6 +60,54 @@ def test_substring_dedup(spark, odd_rows):
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def plain_removal(rows, window=13):
+    first = {}
+    for i, t in rows:
+        w = (t or "").split()
+        for k in range(len(w) - window + 1):
+            if i is not None:
+                first[tuple(w[k : k + window])] = min(i, first.get(tuple(w[k : k + window]), i))
+    out = []
+    for i, t in rows:
+        w = (t or "").split()
+        out.append((i, len({j for k in range(len(w) - window + 1) if i is not None and first[tuple(w[k : k + window])] < i for j in range(k, k + window)})))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bits", [32, 6])
+def test_substring_dedup_where_prints_collide(spark, bits):
+    """With prints of few bits nearly every window shares its print with windows of all parts between; no repeat may be lost to that."""
+    rng = random.Random(12)
+    passages = [prose(rng, 13 + k % 9, 10**6) for k in range(40)]
+    rows = [(i, " ".join([prose(rng, 200, 10**6), passages[i % 40] if i % 3 else "", prose(rng, 200, 10**6)])) for i in range(160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(df, print_bits=bits, part_bytes=20_000).collect()
+    assert sorted(((r["doc_id"], r["n_removed"]) for r in got), key=str) == plain_removal(rows)
+
+
+def test_substring_dedup_of_heavy_and_null_ids(spark):
+    rng = random.Random(13)
+    shared = [prose(rng, 30, 10**6) for _ in range(5)]
+    text = lambda: f"{prose(rng, 40, 10**6)} {rng.choice(shared)} {prose(rng, 40, 10**6)}"
+    rows = [(None, text()) for _ in range(300)] + [(50, text()) for _ in range(300)] + [(i, text()) for i in range(0, 100, 5)] + [(51, text()) for _ in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for wide in (30_000, 10**7):  # dealt by split ranges, and inside one range
+        got = substring_dedup.remove_repeats(df, part_bytes=10_000, range_bytes=wide).collect()
+        assert sorted(((r["doc_id"], r["n_removed"]) for r in got), key=str) == plain_removal(rows)
+
+
+@pytest.mark.parametrize("letters", [substring_dedup.LETTERS, 3])
+def test_phrase_automaton(letters):
+    words = lambda t: t.encode().split()
+    phrase = words(" ".join(f"p{k}" for k in range(20)))
+    machine = substring_dedup.PhraseAutomaton([(phrase, None), (words(" ".join(f"q{k}" for k in range(13))), 7)], 13, letters)
+    assert machine.wide == 1 + (letters == 3)
+    text = [b"x", *phrase[3:18], b"y", *phrase[:12], b"z"]
+    assert np.flatnonzero(machine.covered(text, 1)).tolist() == list(range(1, 16))
+    own = words(" ".join(f"q{k}" for k in range(13)))
+    assert machine.covered(own, 7) is None and machine.covered(own, 8).all()
+
+
 def reference_fingerprint(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
     grams = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
@@ -163,6 +213,7 @@ def test_license_scan_is_native(spark, odd_rows):
 
 def test_warc(spark, odd_rows, tmp_path):
     rows = [(i, None if i == 52 else f"http://h/{i}\r\nX: y", t) for i, t, _ in odd_rows]
+    rows += [(None, "http://n/1", "no id has this"), (None, "http://n/2", "no id has this"), (None, "http://n/1", "no id has this")] + [(60, "http://same", "the very same")] * 5
     pages = spark.createDataFrame([(*r, "e") for r in rows], "page_id long, url string, html string, part string")
     out, manifest = warc.write_archives(pages, f"file://{tmp_path}/a", roll=20_000, part_bytes=1 << 16)
     got = warc.read_archives(out, manifest).collect()
@@ -173,52 +224,104 @@ def test_warc(spark, odd_rows, tmp_path):
     for i, _, t in rows:
         p = (t or "").encode()
         first = least.get(t or "")
-        own = first is None or first == i and (i, t) not in done
-        done.add((i, t))
+        own = first == i and t not in done
+        done |= {t} if own else set()
         want.append((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if own else "revisit", None if own else first))
     key = lambda x: (x[0] is None, x[0] or 0, x[3])
     assert sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got), key=key) == sorted(want, key=key)
     again = warc.write_archives(pages.repartition(3), f"file://{tmp_path}/b", roll=20_000, part_bytes=1 << 16)[1]
     assert sorted(map(tuple, manifest.collect())) == sorted(map(tuple, again.collect())) and manifest.count() > 2
     assert warc.read_archives(*warc.write_archives(pages.limit(0), f"file://{tmp_path}/c")).count() == 0
-    assert not list(tmp_path.glob("a/.part*"))
+    assert not list(tmp_path.glob("a/_temporary*"))
+    heads = [warc.parse(m)[0] for f in tmp_path.glob("a/*.gz") for m in warc.members(open(f, "rb"))]
+    ids = [h["warc-record-id"] for h in heads]
+    assert len(ids) == len(set(ids)) and {h["warc-refers-to"] for h in heads if h["warc-type"] == "revisit"} <= {h["warc-record-id"] for h in heads if h["warc-type"] == "response"}
+
+
+def test_warc_files_are_named_once(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(50)], "page_id long, url string, html string")
+    out, manifest = warc.write_archives(pages, f"file://{tmp_path}/a")
+    before = sorted(map(tuple, manifest.collect()))
+    written = manifest.selectExpr("*", "concat('_temporary/', file, '.gone') AS temp")  # a commit that is repeated: its temporary files are gone
+    assert sorted(map(tuple, warc.name_files(written, out).collect())) == before and warc.read_archives(out, manifest).count() == 50
+
+
+def test_warc_heavy_ids(spark, tmp_path):
+    rows = [(None, f"n{i}", f"{i % 50} " * 3000) for i in range(400)] + [(7, f"u{i}", f"{i % 90} " * 3000) for i in range(400)] + [(i, "u", f"page {i}") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    out, manifest = warc.write_archives(pages, f"file://{tmp_path}/a", part_bytes=1 << 18)
+    assert manifest.where("part < 0").count() > 3 and manifest.count() > 12
+    got = warc.read_archives(out, manifest).collect()
+    assert len(got) == len(rows) and sum(r["record_type"] == "response" for r in got) == len({t for _, _, t in rows})
+    assert all(r["refers_to"] == 7 for r in got if r["record_type"] == "revisit")
 
 
 def test_warc_damage():
-    member = warc.record(1, "http://x", b"abc", warc.base32_sha1(b"abc"), None, "2000-01-01T00:00:00Z")
+    member = warc.record(1, "http://x", b"abc", warc.base32_sha1(b"abc"), "2000-01-01T00:00:00Z", "r")
     headers, block = warc.parse(zlib.decompress(member, 31))
     assert headers["warc-type"] == "response" and block.endswith(b"\r\n\r\nabc")
     with pytest.raises(ValueError):
         warc.parse(zlib.decompress(member, 31).replace(b"abc", b"abd"))
 
 
+def plain_top_k(rows, k, asks):
+    """Ranking of every asking row, by place in the table."""
+    whole = {}
+    for n, (i, v) in enumerate(rows):
+        if v and None not in v and np.isfinite(v).all():
+            whole[n] = [max(-(2**63) + 1024, min(2**63 - 1024, int(np.floor(64 * float(np.float32(x)))))) for x in v]
+    want = []
+    for q, e in whole.items():
+        if asks(rows[q][0]):
+            scores = [(sum(a * b for a, b in zip(e, f)), rows[n][0]) for n, f in whole.items() if n != q and len(f) == len(e)]
+            scores = [(max(-(2**63) + 1, min(2**63 - 1, s)), i) for s, i in scores]
+            best = sorted(scores, key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:k]
+            want += [(rows[q][0], r + 1, i, s) for r, (s, i) in enumerate(best)]
+    return sorted(want, key=str)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(6)
-    rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8)]) for i in range(300)]
+    vector = lambda size: [float(x) for x in rng.normal(0, 0.2, size)]
+    rows = [(i, vector(8)) for i in range(300)]
     rows += [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (304, [1.0]), (305, []), (306, rows[40][1]), (307, [0.0] * 8), (320, rows[40][1])]
-    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=7, shard_rows=90, block_rows=6).collect()
-    whole = {i: np.floor(64 * np.array(v, np.float32).astype(float)).astype(int) for i, v in rows if v and len(v) == 8 and None not in v and np.isfinite(v).all()}
-    want = []
-    for q in (i for i in whole if i % 20 == 0):
-        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:7]
-        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    assert sorted(tuple(r) for r in got) == sorted(want)
-    assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
-    few = topk.top_k(spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>"), F.lit(True)).collect()
+    rows += [(40, rows[40][1]), (40, vector(8)), (60, vector(8)), (61, vector(8)), (61, rows[60][1]), (None, vector(8)), (None, rows[20][1]), *((340 + i, vector(5)) for i in range(30)), (400, [1.5])]
+    schema = "vec_id long, embedding array<float>"
+    asks = lambda i: i is not None and i % 20 == 0
+    for shard, index in ((65_536, 16_384), (90, 40)):
+        got = topk.top_k(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0, k=7, shard_rows=shard, index_rows=index, block_rows=6).collect()
+        assert sorted(map(tuple, got), key=str) == plain_top_k(rows, 7, asks)
+    assert topk.top_k(spark.createDataFrame([], schema), F.lit(True)).count() == 0 == topk.top_k(spark.createDataFrame(rows, schema), F.lit(False)).count()
+    few = topk.top_k(spark.createDataFrame(rows[:3], schema), F.lit(True)).collect()
     assert len(few) == 6
 
 
-@pytest.mark.parametrize("high", [12, 60])
-def test_top_k_takes_each_posting_once(high):
-    rows = np.floor(np.random.default_rng(6).standard_normal((600, 8)) * high).astype(np.int64)
-    ids, asks = np.arange(600), np.arange(0, 600, 4)
-    index = topk.ImpactIndex(ids, rows)
-    assert index.step >= 2
-    who, row, score = index.search(ids[asks], rows[asks], 20)
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 1, 6) * 10.0 ** rng.integers(0, 9)]) for i in range(120)] + [(200, [3e38, -3e38, 1.0, 0.0, 0.0, 0.0]), (220, [3e38] * 6)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=5).collect()
+    assert sorted(map(tuple, got), key=str) == plain_top_k(rows, 5, lambda i: i % 20 == 0)
+
+
+@pytest.mark.parametrize("high", [12, 60, 0.3])
+def test_top_k_stops_on_proof(high):
+    rng = np.random.default_rng(6)
+    rows = np.floor(rng.standard_normal((3000, 32)) * high).astype(np.int64)
+    rows[1500:1600] = rows[7]
+    asks = np.arange(0, 3000, 40)
+    index = topk.ImpactIndex(rows)
+    who, row, score, took = index.search(rows[asks], asks, 20)
     whole = rows[asks] @ rows.T
     for n, q in enumerate(asks.tolist()):
         want = sorted((-int(s), i) for i, s in enumerate(whole[n].tolist()) if i != q)[:20]
-        assert sorted(zip((-score[who == n]).tolist(), row[who == n].tolist())) == want
+        assert list(zip((-score[who == n]).tolist(), row[who == n].tolist())) == want
+    if high > 1:
+        assert len(index.segments) >= 5 and (took < len(index.segments)).mean() > 0.9
+    floor = np.sort(whole, axis=1)[:, -10].astype(float)
+    who, row, score, _ = index.search(rows[asks], asks, 20, floor)
+    for n, q in enumerate(asks.tolist()):
+        want = sorted((-int(s), i) for i, s in enumerate(whole[n].tolist()) if i != q and s >= floor[n])[:20]
+        assert set(want) <= set(zip((-score[who == n]).tolist(), row[who == n].tolist()))
 
 
 def test_mixing(spark, odd_rows):
@@ -344,31 +447,117 @@ def test_quality(spark, labelled):
     assert kept.columns == frame(spark, rows).columns and len(good) * 0.9 < kept.count() < len(rows) - len(bad) * 0.8
 
 
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i % 40, "x" * (i * 10)) for i in range(400)] + [(50, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2 + [(50, 1), (None, 1)], "doc_id long, quality int")
+    got, counts = quality.sample(docs, labels, "quality", F.lit(True), 15, 20_000)
+    assert counts == {0: 40, 1: 41} and all(0 < len(got[y]) <= 15 and sum(len(t) for _, t in got[y]) <= 20_000 for y in (0, 1))
+    again, _ = quality.sample(docs.repartition(3), labels, "quality", F.lit(True), 15, 20_000)
+    assert got == again
+
+
+def test_compression_pieces_cover_the_text():
+    for n in (0, 1, 511, 512, 513, 5000):
+        text = bytes(range(256)) * 20
+        pieces = quality.pieces_of(text[:n], 512)
+        assert b"".join(pieces) == text[:n] and max(map(len, pieces)) <= 512
+    model = quality.CompressionModel(good=b"good words " * 50, bad=b"!!bad$$ " * 50)
+    x = model.sizes(b"good words and some more " * 100)
+    make = lambda raw: quality.zstandard.ZstdCompressor(level=3, dict_data=quality.zstandard.ZstdCompressionDict(raw), write_content_size=False, write_dict_id=False)
+    each = [(len(make(model.good).compress(p)), len(make(model.bad).compress(p))) for p in quality.pieces_of(b"good words and some more " * 100, 512)]
+    g, b = map(sum, zip(*each))
+    assert x[0] == pytest.approx((b - g) / (b + g)) and x[1] == pytest.approx(min((j - i) / (i + j) for i, j in each)) and x[2] == pytest.approx(max((j - i) / (i + j) for i, j in each))
+
+
 def test_toxicity(spark, labelled):
     good, _, rude = labelled
     rows = [(i, t, "s") for i, t in enumerate(good + rude)]
-    labels = spark.createDataFrame([(i, int(i >= len(good))) for i in range(len(rows))], "doc_id long, toxic int")
-    probes = [(500, f"{good[1]} n i t w i t", "s"), (501, f"{good[2]} block-head", "s"), (502, f"{good[2]} nitwwit", "s"), (503, None, "s"), (504, "", "s"), (505, "q" * 100_000, "s")]
+    labels = spark.createDataFrame([(i, int(i >= len(good))) for i in range(len(rows))] + [(None, 1), (7, None)], "doc_id long, toxic int")
+    probes = [(500, f"{good[1]} n i t w i t", "s"), (501, f"{good[2]} block-head", "s"), (502, f"{good[2]} nitwwit", "s"), (503, None, "s"), (504, "", "s"), (505, "q" * 100_000, "s"), (None, rude[0], "s"), (3, good[3], "s"), (3, good[3], "s"), (506, f"{good[4]} blockxhead", "s")]
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
-    got = {r["doc_id"]: r for r in toxicity.classify(frame(spark, rows + probes), labels, learn=learn).collect()}
+    found = toxicity.classify(frame(spark, rows + probes), labels, learn=learn).collect()
+    got = {r["doc_id"]: r for r in found}
     held = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert len(found) == len(rows) + len(probes) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in found)
+    assert len({r["score"] for r in found if r["doc_id"] == 3}) == 1 and got[None]["predicted"] == 1
     assert np.mean([got[i]["predicted"] == int(i >= len(good)) for i in held]) > 0.95
-    assert all(got[i]["predicted"] == 1 for i in (500, 501, 502)) and all(got[i]["predicted"] == 0 for i in (503, 504, 505))
+    assert all(got[i]["predicted"] == 1 for i in (500, 501, 502, 506)) and all(got[i]["predicted"] == 0 for i in (503, 504, 505))
     assert [r["score"] for r in toxicity.classify(frame(spark, rows[:1]), labels.limit(0)).collect()] == [0.0]
+    assert toxicity.classify(frame(spark, []), labels).count() == 0
 
 
 def test_kernel_tolerates_gaps():
-    k = lambda a, b: toxicity.kernel(toxicity.subsequences(a, 8, 0.85), toxicity.subsequences(b, 8, 0.85))
+    k = lambda a, b: toxicity.kernel(toxicity.subsequences(a, 8, 0.8), toxicity.subsequences(b, 8, 0.8))
     near = lambda a, b: k(a, b) / (k(a, a) * k(b, b)) ** 0.5
-    assert near(b"idiot", b"idiot") == pytest.approx(1) and near(b"idiot", b"idxiot") > 0.6 > 0.2 > near(b"idiot", b"theory")
-    assert toxicity.subsequences(b"abc", 8, 0.5) == {1 * 1024 + 2 * 32 + 3: 0.125} and toxicity.subsequences(b"ab", 8, 0.5) == {}
+    assert near("idiot", "idiot") == pytest.approx(1) and near("idiot", "idxiot") > 0.6 > 0.2 > near("idiot", "theory")
+    assert list(toxicity.subsequences("abc", 8, 0.5).values()) == [0.125] and toxicity.subsequences("ab", 8, 0.5) == {}
+
+
+def test_kernels_equal_the_plain_kernel():
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abcdeéß") for _ in range(rng.randrange(0, 25))) for _ in range(300)] + ["aaaaaaa", "abcabcabc", "", "ab"]
+    model = toxicity.KernelModel(landmarks=[w for w in words if len(w) >= 3][:40])
+    sub = {w: toxicity.subsequences(w, model.span, model.decay) for w in words}
+    plain = [[(toxicity.kernel(sub[a], sub[b]) / (toxicity.kernel(sub[a], sub[a]) * toxicity.kernel(sub[b], sub[b])) ** 0.5) ** model.power if sub[a] else 0 for b in model.landmarks] for a in words]
+    assert np.allclose(model.kernels(words), plain, atol=1e-4)
+    for w in words[:20]:  # and the weights against a sum over all places
+        want = {}
+        for i, j, m in combinations(range(len(w)), 3):
+            if m - i < model.span:
+                code = tuple(toxicity.coded([w])[0][[i, j, m]].tolist())
+                want[code] = want.get(code, 0) + model.decay ** (m - i + 1)
+        assert sorted(sub[w].values()) == pytest.approx(sorted(want.values()))
+
+
+def test_text_values_are_sums_over_sentences():
+    model = toxicity.KernelModel(landmarks=["nitwit", "gentle"], beta=np.array([2.0, -1.0], np.float32), bias=-0.5, curve=np.ones(6 + 2 * len(toxicity.MARKS) - 1), name=1)
+    text = "You nitwit, n i t w i t. A gentle word\nand nitwits! " + "plain " * 40 + "nitwit"
+    x = model.features([toxicity.tokens_of(text), []])
+    value = lambda *w: float(np.clip(model.values(list(w)).sum() - 0.5, -3, 3))
+    want = sorted([value("you", "nitwit", "nitwit"), value("gentle", "word"), value("and", "nitwits"), value(*["plain"] * 32), value(*["plain"] * 8, "nitwit")], reverse=True)
+    assert x[0, :3] == pytest.approx(want[:3], abs=1e-4) and x[1, :3] == pytest.approx([-1] * 3)
+    assert sum(len(s) for s in toxicity.sentences_of(toxicity.tokens_of(text))) == 2 + 1 + 2 + 2 + 40 + 1 - 0
+
+
+def test_toxicity_of_held_out_texts(spark):
+    """At 0.7 on sf0.1: held-out toxic texts (6 in 100 of them have no insult at all), the same with a letter put into each insult, and clean ones."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(*quality.sample(docs, labels, "toxic", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1, 1500, 3_000_000))
+    rows = [r for r in labels.join(docs, "doc_id").select("doc_id", "toxic", "text").collect() if r["toxic"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    insult = re.compile(r"\b(trash|pathetic|idiot|worthless|disgusting|stupid|clown|scum|loser|moron|(?:réeux|réê|achlich|achkeit|bomente|boco)\w+)\b")
+    caught = lambda texts: np.mean(model.score([t.encode() for t in texts]) >= 0.7)
+    toxic, clean = ([r["text"] for r in rows if r["toxic"] == y] for y in (1, 0))
+    rng = random.Random(15)
+
+    def put_in(match):
+        word, at = match[0], rng.randrange(1, len(match[0]))
+        return f"{word[:at]}x{word[at:]}"
+
+    assert caught(toxic) > 0.87 and caught([insult.sub(put_in, t) for t in toxic]) > 0.75 and caught(clean) < 0.02
 
 
 def test_ranges(spark):
     df = spark.createDataFrame([(int(i), 1) for i in [*range(1000), 10**12, -(10**9), 5, 5]] + [(None, 1)], "id long, w int")
-    bounds = common.ranges(df, "id", F.col("w"), 100)
-    assert bounds == sorted(set(bounds)) and bounds[-1] == 10**12 and len(bounds) >= 9
-    got = df.select("id", common.range_index("id", bounds).alias("part")).collect()
-    for r in got:
-        assert r["part"] == (-1 if r["id"] is None else next(i for i, b in enumerate(bounds) if r["id"] <= b))
-    assert common.ranges(df.limit(0), "id", F.col("w"), 5) == []
+    found = common.ranges(df, "id", F.col("w"), 100)
+    bounds = found.bounds.tolist()
+    assert bounds == sorted(set(bounds)) and bounds[-1] == 10**12 and len(bounds) >= 9 and found.total == 1005
+    ids = [r["id"] for r in df.collect()]
+    want = [-1 if i is None else next(n for n, b in enumerate(bounds) if i <= b) for i in ids]
+    assert found.place(pa.array(ids, pa.int64()), np.arange(len(ids), dtype=np.uint64)).tolist() == want
+    packs = common.packed(df.withColumn("salt", F.xxhash64("w")), found, "id", "salt").collect()
+    assert sorted((r["part"], i) for r in packs for i in common.from_ipc([r["rows"]])["id"].to_pylist() if i is not None) == sorted((n, i) for n, i in zip(want, ids) if i is not None)
+    assert len(common.ranges(df.limit(0), "id", F.col("w"), 5).bounds) == 0
+
+
+def test_ranges_split_heavy_and_null_keys_in_few_jobs(spark):
+    df = spark.createDataFrame([(5, i) for i in range(3000)] + [(None, i) for i in range(3000)] + [(i * 10**9, i) for i in range(3000)], "id long, salt long")
+    tracker, seen = spark.sparkContext.statusTracker(), []
+    for target in (200, 2):
+        spark.sparkContext.setJobGroup(f"ranges-{target}", "")
+        found = common.ranges(df, "id", F.lit(1), target)
+        seen.append(len(tracker.getJobIdsForGroup(f"ranges-{target}")))
+        table = df.select("id", F.xxhash64("salt").alias("salt")).toArrow()
+        parts, counts = np.unique(found.place(table["id"].combine_chunks(), table["salt"].to_numpy().view(np.uint64)), return_counts=True)
+        assert counts.max() <= 4 * target + 8 and parts.min() < -3000 / (4 * target)
+    assert max(seen) <= 24 and len(found.bounds) > 1000  # a number of jobs that does not follow the number of ranges
+    spark.sparkContext.setJobGroup(None, None)
