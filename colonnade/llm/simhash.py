@@ -1,12 +1,15 @@
 """SimHash near-duplicates by a Gray-order hierarchical index.
 
-Fingerprints that differ in at most `distance` bits agree on at least
-``BLOCKS - distance`` of BLOCKS bit blocks, so every link meets under one of the
-15 (pair of blocks, their value) keys. The rows of a key are sorted by Gray rank
-and indexed as a tree whose nodes hold the bits all their fingerprints share
-(each node only the bits its parent lacks); a search adds up the differences on the
+The index of a shard of fingerprints: they are sorted by Gray rank and held as a tree whose nodes have the bits that all their
+fingerprints share (each node only the bits its parent lacks); a search adds up the differences on the
 way down and drops a node with all its rows once they pass the limit.
 
+Shards: fingerprints that differ in at most `distance` bits agree on at least two of
+BLOCKS bit blocks. So each fingerprint goes to 15 tables, one for each pair of blocks, with these blocks moved
+to the front; a shard is a part of a table, by the value of the blocks. Being in front, they are what the tree's upper nodes share; a search allows
+no difference there (other tables find those) and `distance` in all. Every shard is indexed whole, and every
+fingerprint searched in it, whatever its size.
+
 Defined results: null and blank texts have fingerprint zero and link like any other;
 repeated rows each get a row; a null doc_id never names a component unless all ids
 in it are null. Extra columns are ignored.
@@ -90,6 +93,7 @@ class GrayIndex:
     def __init__(self, fps: np.ndarray):
         self.order = np.argsort(gray_rank(fps), kind="stable")
         self.fps = fps[self.order]
+        self.pruned = 0  # nodes dropped by searches so far
         ones, zeros, step = self.fps, ~self.fps, LEAF
         levels = []
         while True:
@@ -102,29 +106,36 @@ class GrayIndex:
         self.levels = []
         for k, (shared, ones) in enumerate(levels):
             above = np.repeat(levels[k + 1][0], FAN)[: len(shared)] if k + 1 < len(levels) else np.uint64(0)
-            self.levels.append((shared & ~above, ones))
+            self.levels.append((shared & ~above, ones, LEAF * FAN**k))
         self.levels.reverse()
 
-    def pairs(self, queries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-        """Indices (query, row) of all rows within the distance, row in the order the index was given."""
+    def pairs(self, queries: np.ndarray, distance: int, fixed: int = 0, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places (query, row in Gray order) of all rows within the distance that agree on the `fixed` bits; `after`: only rows beyond each query's place there."""
+        fixed = np.uint64(fixed)
         q = np.arange(len(queries))
         node, spent = np.zeros(len(queries), np.int64), np.zeros(len(queries), np.int64)
-        for k, (mask, ones) in enumerate(self.levels):
+        for k, (mask, ones, span) in enumerate(self.levels):
             if k:
-                size = len(mask)
                 q, spent = np.repeat(q, FAN), np.repeat(spent, FAN)
                 node = (node[:, None] * FAN + np.arange(FAN)).ravel()
-                keep = node < size
+                keep = node < len(mask)
+                if after is not None:
+                    keep &= (node + 1) * span > after[q] + 1
                 q, spent, node = q[keep], spent[keep], node[keep]
-            spent = spent + np.bitwise_count((queries[q] ^ ones[node]) & mask[node])
-            keep = spent <= distance
+            differ = (queries[q] ^ ones[node]) & mask[node]
+            spent = spent + np.bitwise_count(differ)
+            keep = (spent <= distance) & (differ & fixed == 0)
+            self.pruned += len(keep) - int(np.count_nonzero(keep))
             q, spent, node = q[keep], spent[keep], node[keep]
         q = np.repeat(q, LEAF)
         row = (node[:, None] * LEAF + np.arange(LEAF)).ravel()
         keep = row < len(self.fps)
+        if after is not None:
+            keep &= row > after[q]
         q, row = q[keep], row[keep]
-        keep = np.bitwise_count(queries[q] ^ self.fps[row]) <= distance
-        return q[keep], self.order[row[keep]]
+        differ = queries[q] ^ self.fps[row]
+        keep = (np.bitwise_count(differ) <= distance) & (differ & fixed == 0)
+        return q[keep], row[keep]
 
 
 def roots(a: np.ndarray, b: np.ndarray, n: int, root: np.ndarray | None = None) -> np.ndarray:
@@ -144,43 +155,54 @@ def roots(a: np.ndarray, b: np.ndarray, n: int, root: np.ndarray | None = None)
             root = up
 
 
-def _local_links(key: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning star for each component of the links under these keys."""
-    order = np.lexsort((gray_rank(fps), key))
-    key, fps = key[order], fps[order]
+TABLES = list(combinations(range(len(BLOCKS)), 2))
+
+
+def in_front(fps: np.ndarray, table: int) -> tuple[np.ndarray, int]:
+    """Fingerprints with the table's two blocks moved to the highest bits, and the mask of these bits."""
+    lows = np.concatenate(([0], np.cumsum(BLOCKS)))
+    out, top = np.zeros(len(fps), np.uint64), 64
+    for b in (*TABLES[table], *(b for b in range(len(BLOCKS)) if b not in TABLES[table])):
+        top -= BLOCKS[b]
+        out |= (fps >> np.uint64(lows[b]) & np.uint64((1 << BLOCKS[b]) - 1)) << np.uint64(top)
+    held = sum(BLOCKS[b] for b in TABLES[table])
+    return out, ((1 << held) - 1) << (64 - held)
+
+
+def _local_links(table: np.ndarray, fps: np.ndarray, distance: int, batch: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning star for each component of the links that these shards, one for each table, hold."""
     nodes, ids = np.unique(fps, return_inverse=True)
-    root = np.arange(len(nodes))
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    sizes = np.diff(np.concatenate((starts, [len(key)])))
-    small = np.repeat(sizes <= 2 * LEAF, sizes)
-    for shift in range(1, 2 * LEAF):  # groups of a leaf or two: all their pairs, for all groups at once
-        at = np.flatnonzero(small[:-shift] & (key[:-shift] == key[shift:])) if shift < len(key) else np.empty(0, np.int64)
-        if not len(at):
-            break
-        at = at[np.bitwise_count(fps[at] ^ fps[at + shift]) <= distance]
-        root = roots(ids[at], ids[at + shift], len(nodes), root)
-    for g in np.flatnonzero(sizes > 2 * LEAF):
-        part = slice(starts[g], starts[g] + sizes[g])
-        own, own_ids = fps[part], ids[part]
-        index = GrayIndex(own)
-        for at in range(0, len(own), 256):
-            q, row = index.pairs(own[at : at + 256], distance)
-            root = roots(own_ids[q + at], own_ids[row], len(nodes), root)
+    root, found, size = np.arange(len(nodes)), [], 0
+    for t in np.unique(table).tolist():
+        mine = ids[table == t]
+        moved, fixed = in_front(nodes[mine], t)
+        index = GrayIndex(moved)
+        mine = mine[index.order]
+        for at in range(0, len(mine), batch):
+            q, row = index.pairs(index.fps[at : at + batch], distance, fixed, np.arange(at, min(at + batch, len(mine))))
+            found.append((mine[q + at], mine[row]))
+            size += len(q)
+            if size > 1 << 20:
+                root, found, size = roots(*map(np.concatenate, zip(*found)), len(nodes), root), [], 0
+    if found:
+        root = roots(*map(np.concatenate, zip(*found)), len(nodes), root)
     moved = root != np.arange(len(nodes))
     return nodes[moved], nodes[root[moved]]
 
 
-def dealt(keyed: DataFrame, id: str, total: int, cap: int) -> DataFrame:
-    """(id, key), where any two rows of a key still meet under one; of large keys the pairs of sub-blocks are dealt out."""
+def dealt(keyed: DataFrame, id: str, total: int, cap: int) -> tuple[DataFrame, int]:
+    """Rows with keys, where any two rows of a key still meet under one (of large keys the pairs of sub-blocks are dealt out), and their number."""
     cap = max(cap, total // 20_000)  # so that fewer than 20,000 keys are above it
-    over = [(r[0], -(-r[1] // cap)) for r in keyed.groupBy("key").count().where(F.col("count") > cap).collect()]
+    over = [(r[0], -(-r[1] // cap), r[1]) for r in keyed.groupBy("key").count().where(F.col("count") > cap).collect()]
     if not over:
-        return keyed
-    table = keyed.sparkSession.createDataFrame(over, "key long, subs int")
+        return keyed, total
+    table = keyed.sparkSession.createDataFrame([x[:2] for x in over], "key long, subs int")
+    names = [c for c in keyed.columns if c != "key"]
     keyed = keyed.join(F.broadcast(table), "key", "left").withColumn("own", F.pmod(F.xxhash64(id), F.col("subs")).cast("int"))
     other = F.when(F.col("subs").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("subs") - 1))
-    keyed = keyed.select(id, "key", "own", F.explode(other).alias("other"))
-    return keyed.select(id, F.when(F.col("other") < 0, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
+    keyed = keyed.select(*names, "key", "own", F.explode(other).alias("other"))
+    keyed = keyed.select(*names, F.when(F.col("other") < 0, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
+    return keyed, total + sum(n * (subs - 1) for _, subs, n in over)
 
 
 def links(distinct: DataFrame, distance: int = 4, cap: int = 4096) -> DataFrame:
@@ -191,18 +213,18 @@ def links(distinct: DataFrame, distance: int = 4, cap: int = 4096) -> DataFrame:
     for w in BLOCKS:
         blocks.append(F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << w) - 1)))
         at += w
-    keys = [F.lit(n << 40) + F.shiftleft(blocks[i], 11) + blocks[j] for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
+    keys = [F.struct(F.lit(n).alias("table"), (F.lit(n << 40) + F.shiftleft(blocks[i], 11) + blocks[j]).alias("key")) for n, (i, j) in enumerate(TABLES)]
     total = distinct.count() * len(keys)
-    keyed = dealt(distinct.select("fp", F.explode(F.array(*keys)).alias("key")), "fp", total, cap)
+    keyed, total = dealt(distinct.select("fp", F.explode(F.array(*keys)).alias("at")).select("fp", "at.table", "at.key"), "fp", total, cap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), schema=pa.schema([("fp", pa.int64()), ("key", pa.int64())]))
-        if held.num_rows:
-            a, b = _local_links(held["key"].to_numpy(), held["fp"].to_numpy().view(np.uint64), distance)
+        held = [(b.column("table").to_numpy(), b.column("fp").to_numpy().view(np.uint64)) for b in batches if b.num_rows]
+        if held:
+            a, b = _local_links(*map(np.concatenate, zip(*held)), distance)
             yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(b))], names=["a", "b"])
 
-    parts = max(parallelism(distinct.sparkSession), total // 2_000_000)
-    return keyed.repartition(parts, "key").mapInArrow(run, "a long, b long")
+    parts = max(parallelism(distinct.sparkSession), total // 1_000_000)  # what a task holds is bounded
+    return keyed.repartition(parts, "key").select("fp", "table").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame, name: str = "edges") -> DataFrame:
@@ -245,7 +267,8 @@ def by_component(rows: DataFrame, groups: DataFrame, found: DataFrame, key: str)
     hot = hot_keys(smallest, "root", "fps", groups.count(), 4 * salts)
     classes = stage_table(salted_join(member, smallest.drop("fps"), "root", hot, salts, key).select(key, "n", "root", "component_id"), "fp-classes")
     hot = hot_keys(classes, key, "n", rows.count(), 4 * salts)
-    return salted_join(rows, classes.drop("n"), key, hot, salts, "doc_id")
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())  # ids may be null, or repeat
+    return salted_join(rows, classes.drop("n"), key, hot, salts, "_row").drop("_row")
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
@@ -285,8 +308,8 @@ def similar_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return found
 
 
-def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int = 2048) -> DataFrame:
-    """One row per document: doc_id, text_hash, root (the component), component_id (smallest doc_id reachable)."""
+def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int = 2048, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, root (the component), component_id (smallest doc_id reachable), and the long columns `carry`."""
 
     def sign(batch: pa.RecordBatch) -> dict:
         each = [shingle_hashes(t, shingle) for t in binaries(batch.column("text"))]
@@ -294,15 +317,15 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int =
         own = signed(np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64))
         fps = signed(np.array([majority(x) for x in each], np.uint64))
         keys = [signed(np.array(band_keys(x), np.uint64)) for x in sets]
-        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "own": own, "fp": fps, "keys": pa.array(keys, pa.list_(pa.int64()))}
+        return {c: batch.column(c) for c in ("doc_id", "text_hash", *carry)} | {"own": own, "fp": fps, "keys": pa.array(keys, pa.list_(pa.int64()))}
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = stage_table(map_arrow(texts, sign, "doc_id long, text_hash long, own long, fp long, keys array<long>"), "signatures")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *carry)
+    rows = stage_table(map_arrow(texts, sign, f"doc_id long, text_hash long, {''.join(f'{c} long, ' for c in carry)}own long, fp long, keys array<long>"), "signatures")
     sets = stage_table(rows.groupBy("own").agg(F.min("text_hash").alias("text_hash"), F.min("fp").alias("fp"), F.first("keys").alias("keys"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")), "shingle-sets")
     linked = components(links(sets.select("fp").distinct()), "fp-links")
     rooted = sets.select("own", "fp").join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("own", F.xxhash64(F.coalesce("root", "fp")).alias("key"))
     keyed = stage_table(sets.select("own", F.explode("keys").alias("key")).union(rooted), "set-keys")
-    held = dealt(keyed, "own", sets.count() * (BANDS + 1), cap)
+    held, _ = dealt(keyed, "own", sets.count() * (BANDS + 1), cap)
     # texts that meet under several keys are compared once
     groups = held.groupBy("key").agg(F.array_sort(F.collect_set("own")).alias("members")).where(F.size("members") > 1).select("members").distinct()
     met = stage_table(groups.select(F.xxhash64("members").alias("group"), F.explode("members").alias("own")), "set-groups")
@@ -324,7 +347,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int =
     whole = stage_table(map_arrow(whole, shingles, "own long, shingles array<long>"), "shingles")
     edges = met.join(whole, "own").select("group", "own", "shingles").groupBy("group").applyInArrow(compare, "a long, b long")
     found = components(edges, "set-links")
-    return by_component(rows.select("doc_id", "text_hash", "own"), sets.select("own", "least_id", "n"), found, "own").select("doc_id", "text_hash", "root", "component_id")
+    return by_component(rows.select("doc_id", *carry, "own"), sets.select("own", "least_id", "n"), found, "own").select("doc_id", *carry, "root", "component_id")
 
 
 def digest(found: DataFrame) -> DataFrame:

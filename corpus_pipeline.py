@@ -1,8 +1,8 @@
 """Five-stage corpus pipeline; each stage is one operator of colonnade.llm.
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns
-of documents; the last returns the mixing plan. Null texts are empty texts; null doc_ids always
-pass the near-duplicate stage; an empty table passes through all stages.
+of documents; the last returns the mixing plan. Null texts are empty texts, and copies of each other; null doc_ids are
+like any others, but rows that have them keep the passages that others repeat; an empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.llm import decontam, mixing, quality, simhash, substring_dedup
-from colonnade.llm.common import documents, stage_table
+from colonnade.llm.common import documents, drop_paths, stage_table, staged
 from colonnade.llm.queries import fold
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -23,18 +23,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) one row stays: that with the smallest doc_id,
-    of rows with that doc_id that with the smallest text hash, of copies of that row one."""
-    found = simhash.near_copies(docs)
-    rows = found.where("doc_id IS NOT NULL").groupBy("doc_id", "text_hash", "root", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) one row stays: that with the smallest doc_id
+    (null last), of rows with that doc_id that with the smallest row hash, of copies of that row one.
+
+    Rows are told apart by 128 bits of hashes of all columns, so repeated and null doc_ids are no special case."""
+    row = [F.xxhash64(F.lit(n), *COLUMNS).alias(f"row{n}") for n in (1, 2)]
+    keyed = docs.select(*COLUMNS, *row)
+    key = ["row1", "row2"]
+    rows = simhash.near_copies(keyed, carry=tuple(key)).groupBy(*key, "doc_id", "root").agg(F.count(F.lit(1)).alias("n"))
     rows = stage_table(rows, "near-rows")
-    twice = rows.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1").select("doc_id")
-    once = docs.select(COLUMNS).join(rows.where("doc_id <> component_id").select("doc_id").union(twice).distinct(), "doc_id", "left_anti").select(COLUMNS)
-    # rows that share their doc_id with others: few, so that their texts can be moved
-    first = rows.join(twice, "doc_id", "left_semi").where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"))
-    again = docs.select(COLUMNS).withColumn("text_hash", F.xxhash64("text")).join(first.drop("root"), ["doc_id", "text_hash"])
-    rest = F.struct("lang", "source", "n_chars", "text").alias("rest")
-    again = again.groupBy("doc_id", "text_hash").agg(F.min(rest).alias("rest")).select("doc_id", "rest.*").select(COLUMNS)
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *key)).alias("first")).select("first.*")
+    gone = rows.join(first.select(*key), key, "left_anti").select(*key)
+    twice = rows.where("n > 1").join(first.select(*key), key, "left_semi").select(*key)  # copies of one row: few, so that their texts can be moved
+    once = keyed.join(gone.union(twice), key, "left_anti").select(COLUMNS)
+    again = keyed.join(twice, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*").select(COLUMNS)
     return once.union(again)
 
 
@@ -65,7 +67,11 @@ ORACLE_SQL = None  # compression, edit distances and fingerprints have no SQL; s
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The last stage's rows; what the stages wrote on the way is removed, but for what these rows are still read from."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        held = set(staged())
+        kept = stage_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_paths(spark, [p for p in staged()[:-1] if p not in held or p == before])
+        docs, before = kept, staged()[-1]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -156,7 +156,30 @@ def test_simhash_links_of_large_groups(spark, cap):
     assert (simhash.roots(a, b, len(fps)) == want).all()
     tree = simhash.GrayIndex(fps)
     q, row = tree.pairs(fps[:50], 4)
-    assert sorted(zip(q.tolist(), row.tolist())) == sorted((i, j) for i, j in near.tolist() if i < 50)
+    assert sorted(zip(q.tolist(), tree.order[row].tolist())) == sorted((i, j) for i, j in near.tolist() if i < 50)
+
+
+@pytest.mark.parametrize("size", [1, 3, 40, 5000])
+def test_gray_index_prunes(size):
+    """Every size of shard goes through the tree; with a table's blocks fixed, few nodes are left at each level."""
+    rng = np.random.default_rng(16)
+    fps = np.unique(np.concatenate([rng.integers(0, 1 << 63, size, dtype=np.uint64), rng.integers(0, 4, size, dtype=np.uint64)]))
+    found = set()
+    for t in range(len(simhash.TABLES)):
+        moved, fixed = simhash.in_front(fps, t)
+        assert sorted(map(int.bit_count, moved.tolist())) == sorted(map(int.bit_count, fps.tolist())) and len(set(moved.tolist())) == len(fps)
+        index = simhash.GrayIndex(moved)
+        q, row = index.pairs(index.fps, 4, fixed, np.arange(len(fps)))
+        plain = np.argwhere((np.bitwise_count(index.fps[:, None] ^ index.fps[None, :]) <= 4) & ((index.fps[:, None] ^ index.fps[None, :]) & np.uint64(fixed) == 0)) if size <= 40 else None
+        if plain is not None:
+            assert sorted(zip(q.tolist(), row.tolist())) == [(i, j) for i, j in plain.tolist() if i < j]
+        elif t == 0:
+            visited = sum(len(m) for m, _, _ in index.levels) * len(fps)
+            assert len(index.levels) >= 4 and index.pruned > 5 * len(fps) and index.pruned < visited / 10
+        found |= {frozenset(x) for x in zip(fps[index.order[q]].tolist(), fps[index.order[row]].tolist())}
+    if size <= 40:
+        near = np.argwhere(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4, 1))
+        assert found == {frozenset((int(fps[i]), int(fps[j]))) for i, j in near}
 
 
 def test_near_copies(spark, odd_rows):

@@ -87,13 +87,52 @@ def test_edited_copies_go(spark):
 
 def test_repeated_doc_ids(spark):
     text = lambda start: " ".join(f"w{k}" for k in range(start, start + 30))
-    rows = [(1, text(0)), (2, text(100)), (2, text(100)), (3, text(0)), (3, text(200)), (4, text(300)), (4, text(400)), (5, text(300)), (5, text(400)), (None, text(0)), (6, text(500))]
+    rows = [(1, text(0)), (2, text(100)), (2, text(100)), (3, text(0)), (3, text(200)), (4, text(300)), (4, text(400)), (5, text(300)), (5, text(400)), (None, text(0)), (6, text(500)), (None, text(600)), (None, text(600))]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = P.near_dedup_stage(spark, docs, DIR)
-    want = [(1, text(0)), (2, text(100)), (3, text(200)), (4, text(300)), (4, text(400)), (6, text(500)), (None, text(0))]
+    want = [(1, text(0)), (2, text(100)), (3, text(200)), (4, text(300)), (4, text(400)), (6, text(500)), (None, text(600))]
     assert got.columns == P.COLUMNS and sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
 
 
+def odd_documents(spark):
+    """Nulls in every column, empty and long texts, repeated rows, and columns that the stages use themselves."""
+    text = lambda start, n=60: " ".join(f"w{k}" for k in range(start, start + n)) + "."
+    rows = [(i, text(1000 * i), "en", f"s{i % 2}", 5) for i in range(20)]
+    rows += [(30, None, "en", "s0", None), (31, "", None, None, 0), (None, None, None, None, None), (32, " \n\t", "de", "s1", 3), (33, text(10**6, 30_000), "en", "s1", 9), (34, "x" * 150_000, "en", "s1", 9)]
+    rows += [(5, text(5000), "en", "s1", 5)] * 3 + [(None, text(10**7), "en", "s0", 5)] * 2 + [(35, f"{text(7000)[:-1]} {text(20_000_000)}", "fr", "s0", 1)]
+    extra = ["row1", "row2", "own", "key", "root", "part", "rows", "n", "size", "fp", "_text", "h", "score"]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra)
+    return spark.createDataFrame([(*r, *extra) for r in rows], kinds), rows
+
+
+def test_each_stage_takes_odd_rows(spark):
+    docs, rows = odd_documents(spark)
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, DIR)
+        got = out.collect()
+        if name == "mixing sources to target weights":
+            assert len(got) == len(rows) and all(r["taken"] <= 3 * r["size"] for r in got)
+            continue
+        assert out.columns == P.COLUMNS and len(got) <= len(rows)
+        kept = sorted(((r["doc_id"], r["text"]) for r in got), key=str)
+        if name == "SimHash near-dedup":  # one of the rows without words, one of the repeated ones, one of those with null ids
+            want = {(i, t) for i, t, *_ in rows if (t or "").strip()} | {(30, None)}
+            assert kept == sorted(want, key=str)
+        elif name == "substring dedup":  # null ids lose nothing, repeated rows of an id keep each other's words
+            assert sum(r["doc_id"] is None for r in got) == 3 and sum(r["doc_id"] == 5 for r in got) == 4
+            assert next(r for r in got if r["doc_id"] == 35)["text"].startswith("w7059 w20000000 ")
+        elif name == "benchmark decontamination":
+            assert len(got) == len(rows)
+
+
+def test_run_removes_what_it_staged(spark):
+    from colonnade.llm.common import staged
+
+    before = len(staged())
+    assert P.run(spark, DIR).count() > 0
+    assert len(staged()) - before < 8  # the mixing stage's own tables and the one it reads
+
+
 def test_empty_table_passes_through(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
