@@ -3,9 +3,9 @@
 All word bigrams of all texts are joined to the bigram positions of the licence
 templates (a fixed table). A match votes for its diagonal, text position less
 template position; a place of a base phrase is a diagonal that has all the phrase's
-votes. For notices, neighbouring diagonals (words put in or left out) are merged and a
-span counts if the merged votes cover enough of the template. Words are
-compared besides their hashes, so votes are exact.
+votes. For notices, the votes of neighbouring diagonals (words put in or left out), up to a quarter of the template's length to either
+side, are merged around each diagonal; a span counts if the merged votes cover enough of the template, and of spans
+that overlap the best is kept. Words are compared besides their hashes, so votes are exact.
 
 Defined results: null text is empty; repeated rows each get a row; rows are told apart
 by doc_id and text, so equal ids do not mix. Extra columns are ignored. Lower-casing goes
@@ -16,6 +16,7 @@ base (none has k, and dotted I keeps its dot as a mark), which translate() of A-
 from __future__ import annotations
 
 import re
+from math import lcm
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -53,6 +54,11 @@ def templates(base: dict[str, str], notices: dict[str, str]) -> list[tuple]:
     return out
 
 
+def drift_of(length: int) -> int:
+    """Diagonals to either side that belong together, for a template of so many words."""
+    return max(2, -(-length // 4))
+
+
 def cast_votes(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> DataFrame:
     """The votes of each (document, template, diagonal) as a mask, where they could count, and one row without template for each document."""
     spark = docs.sparkSession
@@ -69,28 +75,36 @@ def cast_votes(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str,
         F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("mask"), F.count_if(F.col("w") == "").alias("copies")
     )
     full = F.bit_count("mask") == F.col("length") - 1
-    return votes.where(F.col("tmpl").isNull() | full | (~F.col("is_base") & (F.bit_count("mask") >= 2)))
+    return votes.where(F.col("tmpl").isNull() | ~F.col("is_base") | full)
 
 
-def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, coverage: float = 0.6, drift: int = 2) -> DataFrame:
+def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, coverage: float = 0.6) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     score: share of its template's bigrams that the best verified span has (1 for a base phrase); spans:
     (label, start, end in words, coverage) of all base places and verified notice spans.
-    The few votes that count are written out, so that the texts are read once.
+    The votes, far fewer than the words, are written out, so that the texts are read once.
     """
     key = KEY
     votes = stage_table(cast_votes(docs, base, notices), "licence-votes")
     places = votes.where("tmpl IS NULL OR is_base").select(*key, "copies", F.when(F.col("tmpl").isNotNull(), F.struct("label", F.col("diagonal").cast("long").alias("start"), (F.col("diagonal") + F.col("length")).cast("long").alias("end"), F.lit(1.0).alias("coverage"))).alias("base"), F.lit(None).cast("struct<label:string,start:bigint,end:bigint,coverage:double>").alias("notice"))
 
-    along = W.partitionBy(*key, "tmpl").orderBy("diagonal")
-    near = votes.where("NOT is_base").withColumn("new", F.when(F.col("diagonal") - F.lag("diagonal").over(along) <= drift, 0).otherwise(1))
+    own = W.partitionBy(*key, "tmpl")
+    drifts = {drift_of(t[3]) for t in templates(base, notices) if not t[2]} or {2}
+    scale = lcm(*drifts)  # diagonals are scaled, so that one frame is as wide as each template's drift
+    drift = F.greatest(F.lit(2), F.ceil(F.col("length") / 4)).cast("long")
+    along = own.orderBy("scaled")
+    least = F.lit(coverage) * (F.col("length") - 1)
+    near = votes.where("NOT is_base").withColumn("all", F.sum(F.bit_count("mask")).over(own)).where(F.col("all") >= least)
+    low, high = F.length(F.regexp_extract(F.bin("mask"), "0*$", 0)), F.length(F.bin("mask")) + 1
+    near = near.withColumn("start", F.col("diagonal") + low).withColumn("end", F.col("diagonal") + high).withColumn("scaled", F.col("diagonal") * F.floor(F.lit(scale) / drift))
+    about = along.rangeBetween(-scale, scale)
+    near = near.select(*key, "tmpl", "label", "length", "scaled", F.bit_count(F.bit_or("mask").over(about)).alias("hits"), F.min("start").over(about).alias("start"), F.max("end").over(about).alias("end"))
+    near = near.where(F.col("hits") >= least).withColumn("new", F.when(F.col("start") < F.lag("end").over(along), 0).otherwise(1))
     near = near.withColumn("band", F.sum("new").over(along.rowsBetween(W.unboundedPreceding, 0)))
-    low = F.length(F.regexp_extract(F.bin("mask"), "0*$", 0))
-    spans = near.groupBy(*key, "tmpl", "label", "length", "band").agg(
-        F.bit_count(F.bit_or("mask")).alias("hits"), F.min(F.col("diagonal") + low).alias("start"), F.max(F.col("diagonal") + F.length(F.bin("mask")) + 1).alias("end")
-    )
-    spans = spans.withColumn("coverage", F.col("hits") / (F.col("length") - 1)).where((F.col("coverage") >= coverage) & (F.col("end") - F.col("start") <= 2 * F.col("length")))
+    best = F.max_by(F.struct("hits", "start", "end"), F.struct("hits", F.col("start") - F.col("end"), -F.col("start")))
+    spans = near.groupBy(*key, "tmpl", "label", "length", "band").agg(best.alias("best")).select(*key, "label", "length", "best.*")
+    spans = spans.withColumn("coverage", F.col("hits") / (F.col("length") - 1))
     spans = spans.select(*key, F.lit(0).cast("long").alias("copies"), F.lit(None).cast("struct<label:string,start:bigint,end:bigint,coverage:double>").alias("base"), F.struct("label", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "coverage").alias("notice"))
 
     joined = lambda c: F.array_join(F.array_sort(c), ",")

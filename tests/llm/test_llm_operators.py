@@ -229,6 +229,17 @@ def test_license_scan(spark, odd_rows):
     assert by[200]["score"] == 1 and by[204]["labels"] == "" and license_scan.scan(frame(spark, [])).count() == 0
 
 
+def test_notices_with_words_put_in(spark):
+    mit = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction".split()
+    put = lambda places: " ".join(w if k not in places else f"extra{k} {w}" for k, w in enumerate(mit))
+    rows = [(0, put(()), "s"), (1, put((5, 15)), "s"), (2, put((4, 12, 20)), "s"), (3, " ".join([*mit[:14], "a", "b", "c", *mit[14:]]), "s"), (4, " ".join([*mit[:12], *["q"] * 6, *mit[12:]]), "s"), (5, " ".join(mit[:9] + mit[12:]), "s")]
+    rows += [(6, "this work X is licensed Y under a Z creative commons attribution", "s"), (7, f"{put(())} {put((5,))} and {put(())}", "s"), (8, "of this software is in the software to any person " * 40, "s"), (9, "of the " * 5000, "s")]
+    by = {r["doc_id"]: r for r in license_scan.scan(frame(spark, rows)).collect()}
+    assert all(by[i]["labels"] == "mit" and by[i]["score"] >= 0.75 for i in (0, 1, 2, 3, 4, 5)) and by[6]["labels"] == "cc-by" and by[6]["score"] == 0.625
+    assert len(by[7]["spans"]) == 3 and all(x["end"] <= y["start"] for x, y in zip(by[7]["spans"], by[7]["spans"][1:]))
+    assert by[8]["labels"] == by[9]["labels"] == ""
+
+
 def test_license_scan_is_native(spark, odd_rows):
     for df in (license_scan.cast_votes(frame(spark, odd_rows).withColumn("text", F.upper("text"))), license_scan.scan(frame(spark, odd_rows))):
         assert not re.search("Python|Pandas|InArrow", df._jdf.queryExecution().executedPlan().toString())
@@ -392,11 +403,11 @@ def test_decontamination(spark, odd_rows):
     bent = item.replace(item.split()[5], "changed").upper().replace(" ", ", ")
     rows = odd_rows + [(300, f"before {item} after", "s"), (301, f"x {bent}!", "s"), (302, item[: len(item) // 2], "s")]
     bench = spark.createDataFrame([(1, item, "e"), (2, None, "e"), (3, "...", "e"), (4, prose(rng, 30, 10**6), "e"), (1, item, "e")], "item_id long, text string, lang string")
-    for block in (2_000_000, 100):
-        got = decontam.find_leaks(frame(spark, rows), bench, block_chars=block).collect()
+    for block, held in ((2_000_000, 4), (100, 1)):
+        got = decontam.find_leaks(frame(spark, rows), bench, block_chars=block, held_blocks=held).collect()
         assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(300, 1), (300, 1), (301, 1), (301, 1)]
         assert {r["doc_id"]: r["distance"] == 0 for r in got} == {300: True, 301: False}
-        kept = decontam.drop_leaks(frame(spark, rows), bench, block_chars=block)
+        kept = decontam.drop_leaks(frame(spark, rows), bench, block_chars=block, held_blocks=held)
         assert kept.count() == len(rows) - 2 and kept.columns == frame(spark, rows).columns
     assert decontam.find_leaks(frame(spark, rows), bench.limit(0)).count() == 0 == decontam.find_leaks(frame(spark, []), bench).count()
 
@@ -411,11 +422,22 @@ def test_pigeonhole_finds_all_that_distance_allows():
             piece[rng.randrange(len(piece))] = rng.choice("abcd")
         item = decontam.normalise("".join(piece))
         plain = decontam.normalise(text)
-        best = min_distance(item, plain)
-        found = decontam.Matcher([(1, item)], 0.1).matches(text)
+        best = min_distance(f" {item} ", f" {plain} ")
+        found = decontam.Matcher([(1, item)], 0.1, 1).matches(plain)
         assert bool(found) == (best <= int(0.1 * len(item))) and (not found or found[0][1] == best)
 
 
+def test_short_items_match_whole_words_and_texts(spark):
+    bench = spark.createDataFrame([(1, "No"), (2, "a"), (3, "One two three four")], "item_id long, text string")
+    texts = ["we know it", "a cat", "No.", "A", "none two three four", "so one two, three four five", "xone two three fourx", None, ""]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    got = decontam.find_leaks(frame(spark, rows), bench, rate=0.0).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(2, 1), (3, 2), (5, 3)]
+    assert next(r["end"] for r in got if r["doc_id"] == 5) == len("so one two three four")
+    ties = decontam.find_leaks(frame(spark, [(1, "one two three four x one two three four", "s"), (None, "one two three four", "s")]), bench).collect()
+    assert sorted(((r["doc_id"], r["end"]) for r in ties), key=str) == [(1, 18), (None, 18)]
+
+
 def min_distance(item, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
@@ -429,7 +451,8 @@ def min_distance(item, text):
 def test_token_counts(spark, odd_rows):
     with open(token_counts.VOCABULARY, "rb") as f:
         encode = token_counts.encoder(f.read())
-    rows = [r for r in odd_rows if r[0] != 55] + [(400, "tabs\t\tand  double  spaces\n\nlines é ñ 漢字 it's we'll " * 40, "s")]
+    code = "def f(x):\n    return x['it'] + 'don\'t' * 12 # 3rd\x1c\u2028end\r\n\t" * 60
+    rows = odd_rows + [(400, "tabs\t\tand  double  spaces\n\nlines é ñ 漢字 it's we'll " * 40, "s"), (401, "word\n" * 3000, "s"), (402, "漢字仮名。、！" * 900, "s"), (403, code, "s"), (404, "x" * 9000, "s"), (405, "a1'b2'll ½ e\u0301 " * 300, "s")]
     df = frame(spark, rows)
     got = token_counts.count_edited(df, token_counts.sample_edits(), leaf=64).join(df.select("doc_id", "text", token_counts.sample_edits().alias("edits")).distinct(), "doc_id").collect()
     assert len(got) == len([r for r in rows if r[0] is not None])
@@ -440,11 +463,33 @@ def test_token_counts(spark, odd_rows):
             a, b = min(e["start"], len(text)), min(max(e["start"], e["end"]), len(text))
             text = text[:a] + e["text"] + text[b:]
         assert (r["tokens_after"], r["chars_after"]) == (len(encode(text)), len(text))
+    by = {r["doc_id"]: r for r in got}
+    assert all(by[i]["reencoded_chars"] < 1500 < 40 * by[i]["n_leaves"] for i in (55, 401, 402)) and by[404]["n_leaves"] == 1
+    trees = token_counts.build_trees(df, leaf=64)
+    kept = token_counts.count_edited(trees, token_counts.sample_edits(), leaf=64, kept=True).drop("tree").collect()
+    assert sorted(map(str, kept)) == sorted(map(str, token_counts.count_edited(df, token_counts.sample_edits(), leaf=64).drop("tree").collect()))
     nulls = token_counts.count_edited(df, F.lit(None))
     assert nulls.where("tokens_after <> n_tokens OR reencoded_chars > 0").count() == 0
     assert token_counts.count_edited(frame(spark, []), F.lit(None)).count() == 0
 
 
+def test_trees_of_many_edits():
+    with open(token_counts.VOCABULARY, "rb") as f:
+        encode = token_counts.encoder(f.read())
+    rng = random.Random(17)
+    signs = ["word", " ", "\n", "  ", "'", "'ll", "7", "!", "é", "漢字", "\t", "x" * 50, " the cat", "\x1d", "e\u0301"]
+    for _ in range(60):
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(400)))
+        tree = token_counts.TokenTree(text, encode, 16)
+        for _ in range(12):
+            a = rng.randrange(len(text) + 3)
+            b, new = a + rng.randrange(30), "".join(rng.choice(signs) for _ in range(rng.choice([0, 1, 3, 60])))
+            tree.edit(a, b, new)
+            text = text[:a] + new + text[max(a, b) :]
+            assert tree.text() == text and tree.total() == len(encode(text)) and tree.chars[1] == len(text)
+            tree = token_counts.TokenTree(text, encode, 16, tree.kept()) if rng.random() < 0.3 else tree
+
+
 @pytest.fixture(scope="module")
 def labelled():
     rng = random.Random(10)
