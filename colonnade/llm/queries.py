@@ -91,5 +91,29 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS
 """
 
 
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT n, doc_id, i, md5(array_to_string(w[i : i + 12], ' ')) AS h FROM (SELECT n, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT h, min(doc_id) AS first_id FROM k GROUP BY h),
+gone AS (SELECT DISTINCT n, unnest(range(i, i + 13)) AS pos FROM k JOIN f USING (h) WHERE doc_id > first_id),
+each AS (SELECT n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (SELECT n, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS c FROM each ANTI JOIN gone USING (n, pos) GROUP BY n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(c, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (n)
+"""
+
+OP10_SQL = """
+WITH p AS (SELECT row_number() OVER () AS n, page_id, coalesce(html, '') AS payload FROM pages),
+r AS (
+  SELECT *, sha1(payload) AS hex, row_number() OVER w AS place, first_value(page_id) OVER w AS first_id FROM p
+  WINDOW w AS (PARTITION BY payload ORDER BY page_id NULLS LAST, n)
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_top_k": OP5_SQL}
+    return {"op5_exact_top_k": OP5_SQL, "op7_substring_dedup": OP7_SQL, "op10_warc_writer": OP10_SQL}

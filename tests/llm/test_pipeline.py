@@ -30,12 +30,39 @@ def test_query_columns(spark, name):
     assert df.count() > 0
 
 
-def test_op5_oracle(spark):
+def same_as_oracle(spark, name, folder):
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DIR}/embeddings.parquet'")
-    found = c.execute(queries.oracle_sql()["op5_exact_top_k"]).fetchall()
-    got = queries.queries()["op5_exact_top_k"](spark, DIR).select("query_id", "rank", "vec_id", "score").collect()
-    assert sorted(map(tuple, got)) == sorted(found)
+    for table in ("documents", "embeddings", "pages"):
+        c.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    found = c.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in found.description]
+    want = found.fetchall()
+    df = queries.queries()[name](spark, folder)
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(map(tuple, df.select(names).collect()), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_oracle(spark, name):
+    same_as_oracle(spark, name, DIR)
+    same_as_oracle(spark, name, "/root/testdata/sf0.01")
+
+
+def test_base_columns_of_licences_and_sizes_of_the_mix(spark):
+    """What SQL can say of two queries whose other columns it can't."""
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
+    phrases = " UNION ALL ".join(f"SELECT '{p}' AS p, '{label}' AS label, {len(p.split())} AS n" for p, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")))
+    want = c.execute(rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        found AS (SELECT doc_id, i - 1 AS i, label FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), ({phrases}) WHERE array_to_string(w[i : i + n - 1], ' ') = p)
+        SELECT doc_id, len(w), count(i), min(i), max(i), coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') FROM d LEFT JOIN found USING (doc_id) GROUP BY ALL
+    """).fetchall()
+    got = queries.op2_license_scan(spark, DIR).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and sum(r["n_base"] for r in got) > 0
+    want = c.execute(r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n, sum(n) OVER (PARTITION BY source) FROM documents").fetchall()
+    got = queries.op6_mixing(spark, DIR).collect()
+    assert sorted((r["doc_id"], r["size"], r["source_size"]) for r in got) == sorted(want)
 
 
 def test_op5_oracle_where_steps_are_above_one(spark):
