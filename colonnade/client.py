@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from . import dialect, types
 from .errors import Busy, CallbackFailed, Cancelled, Closed, EngineError, MissingParameter, Timeout, ValidationError, from_spark
 from .functions.scalars import register
-from .operators.relational import extremes_of, totals_of
+from .operators.relational import extremes_of
 from .session import build, child, normalise_settings, scoped
 
 log = logging.getLogger("colonnade")
-ARITY = {"on_data": 2, "on_input": 1, "on_log": 1, "on_progress": 1, "on_profile": 1}
+ARITY = {"on_data": 2, "on_input": 1, "on_log": 1, "on_progress": 1, "on_profile": 1, "on_profile_events": 1}
 
 
 @dataclass
@@ -194,18 +194,22 @@ class Connection:
 
     def query(
         self, sql: str, parameters: dict | None = None, settings=None, query_id: str | None = None, timeout: float | None = None,
-        on_data: Callable | None = None, initial: Any = None, on_log: Callable | None = None, on_progress: Callable | None = None, on_profile: Callable | None = None,
+        on_data: Callable | None = None, initial: Any = None, on_log: Callable | None = None, on_progress: Callable | None = None, on_profile: Callable | None = None, on_profile_events: Callable | None = None,
     ) -> Any:
         """Run a query. Without on_data a Result; with it the last accumulator of a fold over the result.
 
         on_data(event, acc) returns the next accumulator; events are ("data", name, type, value), ("block_end", rows) and ("end",).
+        on_progress gets {rows, bytes, tasks, total_tasks, elapsed} while Spark reads, and once at the end; on_profile {rows, blocks, bytes, rows_before_limit,
+        applied_limit, elapsed}; on_profile_events Spark's counters by name.
         """
-        for kind, f in (("on_data", on_data), ("on_log", on_log), ("on_progress", on_progress), ("on_profile", on_profile)):
+        for kind, f in (("on_data", on_data), ("on_log", on_log), ("on_progress", on_progress), ("on_profile", on_profile), ("on_profile_events", on_profile_events)):
             validate_callback(kind, f)
         statement = dialect.translate(sql)
+        if statement.totals and on_data is None:
+            statement.sql = dialect.with_totals(statement.sql)
         options = normalise_settings(settings) | normalise_settings(statement.settings)
         began = time.monotonic()
-        with _logging(on_log), self._running(query_id, options, timeout) as tag:
+        with _logging(on_log), self._running(query_id, options, timeout) as tag, _watching(self.spark, tag, on_progress, began):
             df = self._frame(statement, parameters)
             seen = Observation()
             if df.columns:
@@ -215,24 +219,37 @@ class Connection:
                 out, count = self._fold(df, on_data, initial)
             else:
                 rows = [list(r) for r in df.collect()]
-                count = len(rows)
                 out = Result([{"name": f.name, "type": f.dataType.simpleString()} for f in df.schema], rows, query_id=tag)
-                if statement.totals:
-                    made = totals_of(self.spark, statement.sql, lambda text: self._frame(dialect.Statement(text, parameters=statement.parameters), parameters))
-                    out.totals = list(made.first())
+                if statement.totals:  # the first column tells the totals row
+                    out.columns, totals = out.columns[1:], [r[1:] for r in rows if r[0]]
+                    out.rows = rows = [r[1:] for r in rows if not r[0]]
+                    out.totals = totals[0] if totals else None
+                    df = df.where("_totals = 0").drop("_totals")
+                count = len(rows)
                 if options.get("extremes") not in (None, "0", "") and rows:
                     low, high = extremes_of(df).collect()
                     out.extremes = {"min": list(low)[1:], "max": list(high)[1:]}
             spent = time.monotonic() - began
+            if on_progress or on_profile or on_profile_events:
+                events = counters(self.spark, tag, wait=True)
             if on_progress:
-                on_progress({"rows": count, "elapsed": spent})
+                on_progress({"rows": events["InputRecords"], "bytes": events["InputBytes"], "tasks": events["Tasks"], "total_tasks": events["TotalTasks"], "elapsed": spent})
             if on_profile:
-                on_profile({"rows": count, "rows_observed": seen.get.get("rows", count) if df.columns and count else count, "elapsed": spent})
+                block = int(self.spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+                limit = dialect.limit_of(statement.sql) is not None
+                before = self._rows_before_limit(statement, parameters) if limit else count
+                on_profile({"rows": count, "rows_observed": seen.get.get("rows", count) if df.columns and count and not statement.totals else count, "blocks": -(-count // block), "bytes": events["ResultBytes"], "rows_before_limit": before, "applied_limit": limit, "elapsed": spent})
+            if on_profile_events:
+                on_profile_events(events)
             log.info("query %s ended: %s rows", tag, count)
         if isinstance(out, Result):
             out.statistics = {"rows": count, "elapsed": spent}
         return out
 
+    def _rows_before_limit(self, statement: dialect.Statement, parameters: dict | None) -> int:
+        """A count of the query's rows without its limit."""
+        return self._frame(dialect.Statement(dialect.without_limit(statement.sql), parameters=statement.parameters), parameters).count()
+
     def _fold(self, df: DataFrame, on_data: Callable, acc: Any) -> tuple[Any, int]:
         """A bounded-memory fold: partitions come to the driver one at a time."""
         names = [(f.name, f.dataType.simpleString()) for f in df.schema]
@@ -340,13 +357,16 @@ class Connection:
 
 
 class InsertStream:
-    """Blocks that become visible together when the stream is finished."""
+    """Blocks that become visible together when the stream is finished; `flush_rows` of them at most are held here, the others wait in files."""
+
+    flush_rows = 100_000
 
     def __init__(self, connection: Connection, sql: str, columns: list[tuple[str, str]]):
         self.connection, self.columns = connection, list(columns)
         self.table, self.listed = target(sql)
         self.schema = types.schema(self.columns)
         self.blocks: list[DataFrame] = []
+        self.sent, self.held, self.path = 0, 0, None
         self.rows, self.began, self.failed, self.open = 0, time.monotonic(), None, True
 
     def send(self, columns: list[dict]) -> int:
@@ -361,29 +381,111 @@ class InsertStream:
         rows = validate_columns(columns)
         if rows:
             self.blocks.append(to_frame(self.connection.spark, [c | {"type": t} for c, (_, t) in zip(columns, self.columns)]))
-            self.rows += rows
+            self.rows, self.sent, self.held = self.rows + rows, self.sent + 1, self.held + rows
+            if self.held >= self.flush_rows:
+                self._flush()
         return rows
 
+    def _flush(self) -> None:
+        """Write the blocks held to a folder of the stream's own; the table sees nothing of it yet."""
+        spark = self.connection.spark
+        if self.path is None:
+            where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+            self.path = f"{where.rstrip('/')}/insert-{uuid.uuid4().hex[:12]}"
+        functools.reduce(DataFrame.union, self.blocks).write.mode("append").parquet(self.path)
+        self.blocks, self.held = [], 0
+
     def finish(self) -> dict[str, Any]:
         if self.failed:
             raise self.failed
         if not self.open:
             raise Closed("the stream is finished")
-        self.abort()
-        if self.blocks:
+        self._end()
+        if self.sent:
             try:
                 with self.connection._running(None, {}, None):
-                    self.connection._append(self.table, self.listed, functools.reduce(DataFrame.union, self.blocks))
+                    if self.path and self.blocks:
+                        self._flush()
+                    rows = self.connection.spark.read.schema(self.schema).parquet(self.path) if self.path else functools.reduce(DataFrame.union, self.blocks)
+                    self.connection._append(self.table, self.listed, rows)
             except EngineError as e:
                 self.failed = e
                 raise
-        return {"rows_inserted": self.rows, "blocks_sent": len(self.blocks), "elapsed_time": time.monotonic() - self.began}
+            finally:
+                self._clear()
+        return {"rows_inserted": self.rows, "blocks_sent": self.sent, "elapsed_time": time.monotonic() - self.began}
 
-    def abort(self) -> None:
+    def _end(self) -> None:
         self.open = False
         if self.connection._stream is self:
             self.connection._stream = None
 
+    def _clear(self) -> None:
+        if self.path:
+            spark = self.connection.spark
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.blocks, self.path = [], None
+
+    def abort(self) -> None:
+        """Give the stream up; nothing of it is written."""
+        self._end()
+        self._clear()
+
+
+# Spark's counters of a stage, by the names they are given out under.
+COUNTERS = {
+    "InputBytes": "inputBytes", "InputRecords": "inputRecords", "OutputBytes": "outputBytes", "OutputRecords": "outputRecords", "ShuffleReadBytes": "shuffleReadBytes", "ShuffleWriteBytes": "shuffleWriteBytes",
+    "MemoryBytesSpilled": "memoryBytesSpilled", "DiskBytesSpilled": "diskBytesSpilled", "ExecutorRunTimeMs": "executorRunTime", "ExecutorCpuTimeNs": "executorCpuTime", "GcTimeMs": "jvmGcTime",
+    "ResultBytes": "resultSize", "Tasks": "numCompleteTasks", "TotalTasks": "numTasks",
+}
+
+
+def counters(spark: SparkSession, tag: str, wait: bool = False) -> dict[str, int]:
+    """Spark's counters over the stages of the jobs with a tag, as far as they are known by now; with `wait`, once Spark has told all."""
+    sc = spark.sparkContext._jsc.sc()
+    if wait:
+        sc.listenerBus().waitUntilEmpty()
+    out = dict.fromkeys([*COUNTERS, "Jobs", "Stages"], 0)
+    stages: set[int] = set()
+    for job in list(sc.statusTracker().getJobIdsForTag(tag)):
+        out["Jobs"] += 1
+        info = sc.statusTracker().getJobInfo(job)
+        stages.update(info.get().stageIds() if info.isDefined() else ())
+    for stage in sorted(stages):
+        if sc.statusTracker().getStageInfo(stage).isDefined():
+            found = sc.statusStore().lastStageAttempt(stage)
+            if found.status().toString() not in ("SKIPPED", "PENDING"):
+                out["Stages"] += 1
+                for name, getter in COUNTERS.items():
+                    out[name] += int(getattr(found, getter)())
+    return out
+
+
+@contextmanager
+def _watching(spark: SparkSession, tag: str, on_progress: Callable | None, began: float, every: float = 0.2) -> Iterator[None]:
+    """Progress to a callback from another thread, as long as the block runs."""
+    if on_progress is None:
+        yield
+        return
+    over = threading.Event()
+
+    def watch() -> None:
+        while not over.wait(every):
+            try:
+                seen = counters(spark, tag)
+                on_progress({"rows": seen["InputRecords"], "bytes": seen["InputBytes"], "tasks": seen["Tasks"], "total_tasks": seen["TotalTasks"], "elapsed": time.monotonic() - began})
+            except Exception:
+                logging.getLogger("colonnade.callbacks").warning("on_progress failed", exc_info=True)
+
+    thread = threading.Thread(target=watch, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        over.set()
+        thread.join()
+
 
 @contextmanager
 def _logging(on_log: Callable | None) -> Iterator[None]:

@@ -6,6 +6,7 @@ data, never from one task that holds all rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,9 +32,19 @@ def prefix_sum(df: DataFrame, key: str, amount: Column, name: str) -> DataFrame:
     return df.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + own).drop("_range", "_amount", "_before")
 
 
+def once(df: DataFrame) -> DataFrame:
+    """The frame, worked out once: in the shared checkpoint folder where the session has one, else kept on the executors' disks."""
+    where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        return df.persist(StorageLevel.DISK_ONLY)
+    df.sparkSession.sparkContext.setCheckpointDir(where)
+    return df.checkpoint()
+
+
 def build_dictionary(df: DataFrame, column: str, order: str | None = None) -> DataFrame:
     """(value, index): different values, numbered by first place in `order`, or by value; a null value gets index 0."""
     first = df.groupBy(F.col(column).alias("value")).agg(F.min(order if order else column).alias("first"))
+    first = once(first)  # read four times below
     known = first.where("value IS NOT NULL")
     numbered = prefix_sum(known.withColumn("place", F.col("first")), "place", F.lit(1), "index")
     shift = F.coalesce(first.agg(F.max(F.when(F.col("value").isNull(), 1).otherwise(0))).scalar(), F.lit(0))

@@ -2,42 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .. import dialect
 from ..errors import EngineError
 
 
-def totals_of(spark: SparkSession, sql: str, run: Callable[[str], DataFrame]) -> DataFrame:
-    """The totals row of a grouped query: its aggregates over all rows, its keys at their defaults (null)."""
-    parts = dialect.grouped(sql)
-    if parts is None:
-        raise EngineError("WITH TOTALS needs GROUP BY", kind="syntax_error")
-    head, keys = parts
-    names = run(f"{head} GROUP BY {keys}").columns
-    both = run(f"{head} GROUP BY GROUPING SETS (({keys}), ())".replace("SELECT", "SELECT grouping_id() AS _totals,", 1))
-    return both.where(F.col("_totals") > 0).drop("_totals").toDF(*names)
-
-
-def group_with_totals(df: DataFrame, keys: list[str], aggregates: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """(groups, totals): both come from one pass over grouping sets."""
-    both = df.rollup(*keys).agg(F.grouping_id().alias("_level"), *aggregates)
-    every = (1 << len(keys)) - 1
-    return both.where("_level = 0").drop("_level"), both.where(f"_level = {every}").drop("_level", *keys)
+def group_with_totals(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
+    """The groups and, with is_total, a row over all rows whose keys are null; both from one pass over the rows."""
+    both = df.groupingSets([[F.col(k) for k in keys], []], *keys).agg(F.grouping_id().alias("_level"), *aggregates)
+    return both.select(*keys, (F.col("_level") > 0).alias("is_total"), *[c for c in both.columns if c not in (*keys, "_level")])
 
 
 def extremes_of(df: DataFrame) -> DataFrame:
-    """Two rows, the least and the greatest value of each column; null for columns without order."""
+    """Two rows, the least and the greatest value of each column, from one pass; null for columns without order."""
     index = [f"_c{i}" for i in range(len(df.columns))]
     named = df.toDF(*index)
-    ordered = lambda f: f.dataType.typeName() not in ("map", "variant", "void")
-    pick = lambda agg: [(agg(c) if ordered(f) else F.lit(None)).alias(c) for c, f in zip(index, named.schema)]
-    low, high = named.agg(F.lit("min").alias("extreme"), *pick(F.min)), named.agg(F.lit("max").alias("extreme"), *pick(F.max))
-    return low.union(high)
+    ordered = {f.name: f.dataType.typeName() not in ("map", "variant", "void") for f in named.schema}
+    pick = lambda agg, name: F.struct(F.lit(name).alias("extreme"), *[(agg(c) if ordered[c] else F.lit(None)).alias(c) for c in index])
+    both = named.agg(pick(F.min, "min").alias("low"), pick(F.max, "max").alias("high"))
+    return both.select(F.explode(F.array("low", "high")).alias("row")).select("row.*")
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -68,21 +53,43 @@ def as_of_join(left: DataFrame, right: DataFrame, on: str, time: str, values: li
 
 
 def range_join(left: DataFrame, right: DataFrame, point: str, low: str, high: str, width: int) -> DataFrame:
-    """Rows whose point lies in [low, high): joined on cells of `width`, so that the join is an equi-join."""
-    cell = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
-    cells = right.withColumn("_cell", F.explode(F.sequence(cell(low), F.floor((F.col(high) - F.lit(1e-9)) / F.lit(width)).cast("long"))))
-    found = left.withColumn("_cell", cell(point)).join(cells, "_cell")
-    return found.where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("_cell")
+    """Rows whose point lies in [low, high): an equi-join on cells whose width doubles until an interval lies in two of them at most.
 
-
-def skewed_join(big: DataFrame, small: DataFrame, on: str, salts: int = 16, how: str = "inner") -> DataFrame:
-    """Equi-join with every key of the small side repeated under `salts` salts, for keys too hot for one task."""
-    dealt = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    So an interval makes two rows at most, however wide it is, and a point one for each width in use.
+    """
+    level = F.greatest(F.lit(0), F.ceil(F.log2((F.col(high) - F.col(low)).cast("double") / F.lit(float(width))))).cast("int")
+    cell = lambda c, n: F.floor(F.col(c) / (F.lit(float(width)) * F.pow(F.lit(2.0), n))).cast("long")
+    cells = right.where(F.col(high) > F.col(low)).withColumn("_level", level)
+    cells = cells.withColumn("_cell", F.explode(F.array_distinct(F.array(cell(low, F.col("_level")), cell(high, F.col("_level"))))))
+    levels = [r[0] for r in cells.select("_level").distinct().orderBy("_level").collect()]  # 64 or so at most, as widths double
+    points = left.withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    points = points.withColumn("_cell", cell(point, F.col("_level")))
+    found = points.join(cells, ["_level", "_cell"])
+    return found.where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("_level", "_cell")
+
+
+def hot_keys(df: DataFrame, key: str, share: int = 200) -> list:
+    """Keys that more than a `share`-th of all rows have: fewer than `share` of them, whatever the data."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    total = df.count()
+    return [r[0] for r in counted.where(F.col("count") > max(1000, total // share)).select(key).collect()]
+
+
+def skewed_join(big: DataFrame, small: DataFrame, on: str, salts: int = 16, how: str = "inner", hot: list | None = None) -> DataFrame:
+    """Equi-join for keys too hot for one task: only those (found by a count of the big side where not given) are dealt over `salts` tasks, and only
+    the small side's rows of theirs repeated. Joins that keep unmatched rows of the small side are refused, as these would come `salts` times."""
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
+        raise EngineError(f"no skewed join of kind {how}", kind="bad_arguments")
+    hot = hot_keys(big, on) if hot is None else hot
+    if not hot:
+        return big.join(small, on, how)
+    salt = F.pmod(F.xxhash64(*[c for c, t in big.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int")
+    dealt = big.withColumn("_salt", F.when(F.col(on).isin(hot), salt).otherwise(0))
+    spread = small.withColumn("_salt", F.explode(F.when(F.col(on).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     return dealt.join(spread, [on, "_salt"], how).drop("_salt")
 
 
-def sized_broadcast(df: DataFrame, limit: int = 64 << 20) -> DataFrame:
-    """The frame with a broadcast hint, if the optimizer's size estimate of it is within the limit."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(size)) <= limit else df
+def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner", limit: int = 64 << 20) -> DataFrame:
+    """A join that broadcasts the right side if the optimizer's size estimate of it is within the limit, and leaves the choice to Spark otherwise."""
+    size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return left.join(F.broadcast(right) if size <= limit else right, on, how)

@@ -135,9 +135,8 @@ def group_by_expr(spark, d):
 
 @query("SELECT event_type, 0 AS is_total, count(*) AS cnt, round(sum(value), 2) AS total FROM events GROUP BY event_type UNION ALL SELECT NULL, 1, count(*), round(sum(value), 2) FROM events")
 def group_with_totals(spark, d):
-    groups, totals = R.group_with_totals(table(spark, d, "events"), ["event_type"], [F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 2).alias("total")])
-    columns = ["event_type", "is_total", "cnt", "total"]
-    return groups.withColumn("is_total", F.lit(0)).select(columns).union(totals.withColumn("event_type", F.lit(None).cast("string")).withColumn("is_total", F.lit(1)).select(columns))
+    out = R.group_with_totals(table(spark, d, "events"), ["event_type"], [F.count(F.lit(1)).alias("cnt"), F.round(F.sum("value"), 2).alias("total")])
+    return out.withColumn("is_total", F.col("is_total").cast("int"))
 
 
 @query("SELECT range % 5 AS g, 20::BIGINT AS cnt, false AS is_total FROM range(5) UNION ALL SELECT NULL, 100, true")
@@ -152,9 +151,9 @@ def extremes(spark, d):
     return R.extremes_of(table(spark, d, "orders").select(names)).toDF("extreme", *names)
 
 
-@query("SELECT c_custkey, c_name, 'O''x' AS tag FROM customer WHERE c_custkey < 50 AND c_mktsegment = 'MACHINERY'")
+@query("SELECT c_custkey, c_name, 'O''x' AS tag FROM customer WHERE c_acctbal < 2500 AND c_mktsegment = 'MACHINERY'")
 def param_query(spark, d):
-    return _dialect(spark, d, "SELECT c_custkey, c_name, {tag:String} AS tag FROM customer WHERE c_custkey < {top:UInt64} AND c_mktsegment = {seg:String}", "customer", parameters={"seg": "MACHINERY", "tag": "O'x", "top": 50})
+    return _dialect(spark, d, "SELECT c_custkey, c_name, {tag:String} AS tag FROM customer WHERE c_acctbal < {top:Float64} AND c_mktsegment = {seg:String}", "customer", parameters={"seg": "MACHINERY", "tag": "O'x", "top": 2500.0})
 
 
 # --- B: conversions ---
@@ -406,12 +405,14 @@ def compressed_roundtrip(spark, d):
     return spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT count(*) AS n, sum(o_orderkey) AS total, 16 AS batches FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1500)")
+@query("SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total, CAST(ceil(count(*) / 980.0) AS INTEGER) AS batches FROM orders")
 def stream_batches(spark, d):
     connection = connect(spark)
     register_tables(connection.spark, d, ["orders"])
-    got = list(connection.batches("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1500", 98))
-    return spark.createDataFrame([(sum(map(len, got)), sum(r[0] for b in got for r in b), len(got))], "n long, total long, batches int")
+    n = total = batches = 0
+    for batch in connection.batches("SELECT o_orderkey FROM orders ORDER BY o_orderkey", 980):
+        n, total, batches = n + len(batch), total + sum(r[0] for r in batch), batches + 1
+    return spark.createDataFrame([(n, total, batches)], "n long, total long, batches int")
 
 
 @query("SELECT 1 AS found")
@@ -494,7 +495,7 @@ def ext_set_intersect(spark, d):
 
 @query("SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0")
 def ext_set_except(spark, d):
-    return table(spark, d, "orders").select(F.col("o_custkey").alias("k")).exceptAll(table(spark, d, "customer").where("c_custkey % 2 = 0").select("c_custkey")).distinct().join(table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k")), "k", "left_anti")
+    return table(spark, d, "orders").select(F.col("o_custkey").alias("k")).subtract(table(spark, d, "customer").where("c_custkey % 2 = 0").select("c_custkey"))
 
 
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(grouping(l_returnflag) * 2 + grouping(l_linestatus) AS BIGINT) AS level FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
@@ -507,9 +508,9 @@ def ext_cube_having(spark, d):
     return table(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n")).where("n > 100")
 
 
-@query("WITH big AS (SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN total > 500000 THEN 'high' ELSE 'low' END AS class FROM customer JOIN big ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_name LIKE 'Customer%' AND c_custkey BETWEEN 10 AND 900")
+@query("WITH big AS (SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN total > 500000 THEN 'high' ELSE 'low' END AS class FROM customer JOIN big ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_name LIKE 'Customer%' AND c_acctbal BETWEEN 10 AND 9000")
 def ext_cte_case(spark, d):
-    return _dialect(spark, d, "WITH big AS (SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN total > 500000 THEN 'high' ELSE 'low' END AS class FROM customer JOIN big ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_name LIKE 'Customer%' AND c_custkey BETWEEN 10 AND 900", "customer orders")
+    return _dialect(spark, d, "WITH big AS (SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN total > 500000 THEN 'high' ELSE 'low' END AS class FROM customer JOIN big ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_name LIKE 'Customer%' AND c_acctbal BETWEEN 10 AND 9000", "customer orders")
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
@@ -522,3 +523,191 @@ def ext_tumbling_window(spark, d):
 def ext_session_window(spark, d):
     out = E.sessions(table(spark, d, "events"), "ts", "30 minutes", ["user_id"], [F.count(F.lit(1)).alias("n")])
     return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), "n")
+
+
+# --- B: texts of the dialect ---
+@query("SELECT s_suppkey, s_suppkey + 1 AS first, 'k' || s_suppkey AS name, s_suppkey * 10 AS second FROM supplier")
+def dialect_subscripts(spark, d):
+    return _dialect(spark, d, "SELECT s_suppkey, [s_suppkey + 1, 2][1] AS first, m['name'] AS name, (pair)[2] AS second FROM (SELECT s_suppkey, map('name', concat('k', toString(s_suppkey))) AS m, [0, s_suppkey * 10] AS pair FROM supplier) t", "supplier")
+
+
+@query("WITH t AS (SELECT o_orderpriority AS p, o_totalprice AS v FROM orders) SELECT p, count(*) AS n, false AS is_total FROM t GROUP BY p HAVING count(*) > 1 UNION ALL SELECT NULL, count(*), true FROM t")
+def dialect_totals_cte(spark, d):
+    connection = connect(spark)
+    register_tables(connection.spark, d, ["orders"])
+    found = connection.query("with t as (select o_orderpriority as p, o_totalprice as v from orders) select p, count() as n from t group by p with totals having count() > 1 order by p limit 100")
+    return spark.createDataFrame([(*r, False) for r in found.rows] + [(*found.totals, True)], "p string, n long, is_total boolean")
+
+
+@query("SELECT s_suppkey, CAST(s_suppkey % 256 AS BIGINT) + 16909056 AS num, '::' || printf('%x', s_suppkey % 4096 + 1) AS v6 FROM supplier")
+def dialect_network(spark, d):
+    return _dialect(spark, d, "SELECT s_suppkey, toIPv4(concat('1.2.3.', toString(s_suppkey % 256))) AS num, toIPv6(concat('0:0:0:0:0:0:0:', lower(hex(s_suppkey % 4096 + 1)))) AS v6 FROM supplier", "supplier")
+
+
+@query("SELECT n_nationkey, printf('00000000-0000-0000-0000-%012d', n_nationkey) AS id FROM nation")
+def dialect_uuid(spark, d):
+    return _dialect(spark, d, "SELECT n_nationkey, toUUID(lpad(toString(n_nationkey), 32, '0')) AS id FROM nation", "nation")
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 MILLISECOND * 250 AS at FROM orders")
+def dialect_datetime64(spark, d):
+    return _dialect(spark, d, "SELECT o_orderkey, CAST(toDateTime64(concat(toString(toDate(o_orderdate)), ' 00:00:00.250'), 3) AS TIMESTAMP_NTZ) AS at FROM orders", "orders")
+
+
+@query("SELECT p_partkey, [p_size + 1, p_size * 2] AS mapped, CASE WHEN p_size > 25 THEN [p_size] ELSE [] END AS kept FROM part")
+def dialect_array_map(spark, d):
+    return _dialect(spark, d, "SELECT p_partkey, arrayMap(x -> x + p_size, [1, p_size]) AS mapped, arrayFilter(x -> x > 25, [p_size]) AS kept FROM part", "part")
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS positive FROM customer")
+def dialect_nullable(spark, d):
+    return _dialect(spark, d, "SELECT c_custkey, toNullable(CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE NULL END) AS positive FROM customer", "customer")
+
+
+@query("SELECT 7::BIGINT AS id, 'it''s' AS name, [1, 2] AS tags, 'x' AS k")
+def insert_with_parameters(spark, d):
+    connection, name = _scratch(spark, "id Int64, name String, tags Array(Int32), attrs Map(String, String)")
+    connection.query(f"INSERT INTO {name} VALUES ({{id:Int64}}, {{name:String}}, [1, 2], {{'k': 'x'}})", {"id": 7, "name": "it's"})
+    return connection.frame(f"SELECT id, name, tags, attrs['k'] AS k FROM {name}")
+
+
+@query("SELECT 3::BIGINT AS n, 'unknown_table' AS missing, 'syntax_error' AS broken, 'unknown_identifier' AS unknown")
+def errors_and_atomicity(spark, d):
+    """A failed insert leaves the rows before it, and failures say of what kind they are."""
+    from ..errors import EngineError
+
+    connection, name = _scratch(spark, "id UInt32")
+    connection.insert(f"INSERT INTO {name} VALUES", [{"name": "id", "type": "UInt32", "data": [1, 2, 3]}])
+
+    def kind(run: Callable) -> str:
+        try:
+            run()
+        except EngineError as e:
+            return e.kind
+        return ""
+
+    kind(lambda: connection.insert(f"INSERT INTO {name} VALUES", [{"name": "id", "type": "UInt32", "data": [4, -5]}]))
+    texts = ["SELECT * FROM absent_table", "SELECT 1 + FROM WHERE )", f"SELECT absent FROM {name}"]
+    kinds = [kind(lambda t=t: connection.query(t)) for t in texts]
+    return spark.createDataFrame([(spark.table(name).count(), *kinds)], "n long, missing string, broken string, unknown string")
+
+
+# --- C: extensions ---
+@query("SELECT n_name, coalesce(suppliers, 0) AS suppliers FROM (SELECT s_nationkey, count(*) AS suppliers FROM supplier GROUP BY 1) RIGHT JOIN nation ON s_nationkey = n_nationkey")
+def ext_join_right(spark, d):
+    per = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
+    return per.join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "right").select("n_name", F.coalesce("suppliers", F.lit(0)).alias("suppliers"))
+
+
+@query("SELECT r_name, n_name FROM region CROSS JOIN nation")
+def ext_join_cross(spark, d):
+    """Both tables have a fixed size, whatever the scale."""
+    return table(spark, d, "region").select("r_name").crossJoin(table(spark, d, "nation").select("n_name"))
+
+
+@query("SELECT a.n_name AS a, b.n_name AS b FROM nation a JOIN nation b ON a.n_regionkey <> b.n_regionkey AND a.n_nationkey < b.n_nationkey")
+def ext_join_theta(spark, d):
+    a, b = (table(spark, d, "nation").select(F.col("n_name").alias(n), F.col("n_regionkey").alias(f"r{n}"), F.col("n_nationkey").alias(f"k{n}")) for n in "ab")
+    return a.join(b, (F.col("ra") != F.col("rb")) & (F.col("ka") < F.col("kb"))).select("a", "b")
+
+
+@query("SELECT c_custkey, c_name, s_name FROM customer JOIN (SELECT s_nationkey, max(s_name) AS s_name FROM supplier GROUP BY 1) ON c_nationkey = s_nationkey")
+def ext_join_broadcast(spark, d):
+    per = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.max("s_name").alias("s_name"))
+    return R.sized_join(table(spark, d, "customer"), per, "c_nationkey").select("c_custkey", "c_name", "s_name")
+
+
+@query("SELECT p_partkey, x AS step FROM part, unnest(range(1, 1 + p_size % 4)) AS t(x)")
+def ext_lateral(spark, d):
+    return _dialect(spark, d, "SELECT p_partkey, step FROM part, LATERAL explode(slice(sequence(1L, 4L), 1, toInt32(p_size % 4))) AS t(step)", "part")
+
+
+@query("SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
+def ext_distinct(spark, d):
+    return table(spark, d, "orders").select("o_orderstatus", "o_orderpriority").distinct()
+
+
+@query("SELECT event_type, abs(0) < 1 AS near FROM events GROUP BY 1")
+def ext_approx_distinct(spark, d):
+    """Within three of the sketch's standard errors of the exact count."""
+    counted = table(spark, d, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("a"), F.countDistinct("user_id").alias("b"))
+    return counted.select("event_type", (F.abs(F.col("a") - F.col("b")) <= F.greatest(F.lit(2), 0.06 * F.col("b"))).alias("near"))
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20 OFFSET 10")
+def ext_offset(spark, d):
+    return table(spark, d, "customer").select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").offset(10).limit(20)
+
+
+@query("SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier")
+def ext_set_union_all(spark, d):
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).unionAll(table(spark, d, "supplier").select("s_nationkey"))
+
+
+@query("SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier")
+def ext_set_intersect_all(spark, d):
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).intersectAll(table(spark, d, "supplier").select("s_nationkey"))
+
+
+@query("SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier")
+def ext_set_except_all(spark, d):
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).exceptAll(table(spark, d, "supplier").select("s_nationkey"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer) AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey BETWEEN 1 AND 3) AND c_name LIKE '%1_'")
+def ext_subqueries(spark, d):
+    return _dialect(spark, d, "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer) AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey BETWEEN 1 AND 3) AND c_name LIKE '%1_'", "customer nation")
+
+
+@query("SELECT c_custkey, CAST(rank() OVER w AS INTEGER) AS r, CAST(dense_rank() OVER w AS INTEGER) AS dr, CAST(ntile(4) OVER v AS INTEGER) AS quarter, lead(c_custkey) OVER v AS next FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_mktsegment), v AS (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey)")
+def ext_window_ranks(spark, d):
+    w, v = W.partitionBy("c_nationkey").orderBy("c_mktsegment"), W.partitionBy("c_nationkey").orderBy("c_acctbal", "c_custkey")
+    return table(spark, d, "customer").select("c_custkey", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("dr"), F.ntile(4).over(v).alias("quarter"), F.lead("c_custkey").over(v).alias("next"))
+
+
+@query("SELECT time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE * i AS window_start, count(*) AS n FROM events, range(2) t(i) GROUP BY 1")
+def ext_sliding_window(spark, d):
+    counted = table(spark, d, "events").groupBy(F.window("ts", "1 hour", "30 minutes")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
+
+
+@query("SELECT c_custkey, upper(substr(c_name, 1, 4)) AS head, length(c_name) AS size, replace(c_name, '#', '-') AS dashed, round(sqrt(abs(c_acctbal)), 6) AS root, c_mktsegment LIKE 'B%' AS b FROM customer")
+def ext_scalars(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.upper(F.substring("c_name", 1, 4)).alias("head"), F.length("c_name").cast("long").alias("size"), F.replace("c_name", F.lit("#"), F.lit("-")).alias("dashed"), F.round(F.sqrt(F.abs("c_acctbal")), 6).alias("root"), F.col("c_mktsegment").startswith("B").alias("b"))
+
+
+@query("SELECT p_partkey, w AS word, CAST(i - 1 AS INTEGER) AS place FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w, generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part)")
+def ext_udtf(spark, d):
+    """A table function over Arrow-free rows: one row a word."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="place int, word string")
+    class Words:
+        def eval(self, text: str):
+            yield from enumerate(text.split(" "))
+
+    s = connect(spark).spark
+    s.udtf.register("words_of", Words)
+    register_tables(s, d, ["part"])
+    return s.sql("SELECT p_partkey, word, place FROM part, LATERAL words_of(p_name)")
+
+
+@query("SELECT o_orderpriority, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+def ext_view(spark, d):
+    connection = connect(spark)
+    register_tables(connection.spark, d, ["orders"])
+    connection.query("CREATE OR REPLACE TEMPORARY VIEW per_priority AS SELECT o_orderpriority, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderpriority")
+    return connection.frame("SELECT * FROM per_priority")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def ext_file_formats(spark, d):
+    """Through CSV, JSON and ORC files and back."""
+    from ..sources.tables import read
+
+    df = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    for kind in ("csv", "json", "orc"):
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/formats_{uuid.uuid4().hex[:12]}"
+        df.write.format(kind).save(path)
+        df = read(spark, path, kind, df.schema)
+    return df

@@ -1,5 +1,6 @@
 import threading
 import time
+import uuid
 
 import pytest
 
@@ -124,3 +125,54 @@ def test_cancel_and_timeout(connection):
 def test_quotes_and_comments_stay():
     for text in ["SELECT '{a:UInt8} count() [1]' AS x", "SELECT 1 -- count() {b:Int8}", "SELECT 'it''s [x]', \"a[1]\"", "SELECT /* toString(1) */ 1"]:
         assert translate(text).sql == text
+
+
+def test_subscripts_and_literals():
+    from colonnade.dialect import translate
+
+    sql = lambda text: translate(text).sql
+    assert sql("SELECT a[1] AS x, m['k'] FROM t") == "SELECT try_element_at(a, 1) AS x, try_element_at(m, 'k') FROM t"
+    assert sql("SELECT t.a[1][2], f(x)[3], (p)[1], `q r`[-1]") == "SELECT try_element_at(try_element_at(t.a, 1), 2), try_element_at(f(x), 3), try_element_at((p), 1), try_element_at(`q r`, -1)"
+    assert sql("SELECT [1, 2], x IN ([3]), [a[1]] FROM t WHERE [4] = b") == "SELECT array(1, 2), x IN (array(3)), array(try_element_at(a, 1)) FROM t WHERE array(4) = b"
+    assert sql("SELECT arrayMap(x -> [x], a)") == "SELECT transform(a, x -> array(x))"
+
+
+def test_totals_keep_clauses_apart(spark):
+    c = connect(spark)
+    c.spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 9)], "k string, v int").createOrReplaceTempView("totalled")
+    got = c.query("with x as (select k, v from totalled) select k, sum(v) s from x group by k with totals having sum(v) > 1 order by s desc limit 1", on_log=None)
+    assert got.rows == [["c", 9]] and got.totals == [None, 15] and [x["name"] for x in got.columns] == ["k", "s"]
+    assert c.query("SELECT DISTINCT k, count() AS n FROM totalled GROUP BY k WITH TOTALS").totals == [None, 4]
+    low = c.query("SELECT k, sum(v) AS s FROM totalled GROUP BY k WITH TOTALS", settings={"extremes": "1"})
+    assert low.extremes == {"min": ["a", 1], "max": ["c", 9]} and sorted(low.rows) == [["a", 1], ["b", 5], ["c", 9]]
+
+
+def test_progress_profile_and_events(spark, tmp_path):
+    spark.range(0, 200_000, 1, 8).write.parquet(f"{tmp_path}/t")
+    c = connect(spark)
+    c.spark.read.parquet(f"{tmp_path}/t").createOrReplaceTempView("watched")
+    seen, profile, events = [], [], []
+    found = c.query("SELECT id FROM watched ORDER BY id DESC LIMIT 7", on_progress=seen.append, on_profile=profile.append, on_profile_events=events.append)
+    assert len(found.rows) == 7 and seen[-1]["rows"] >= 200_000 and seen[-1]["bytes"] > 0 and seen[-1]["tasks"] == seen[-1]["total_tasks"] > 0
+    assert profile[0]["rows"] == 7 and profile[0]["rows_before_limit"] == 200_000 and profile[0]["applied_limit"] and profile[0]["blocks"] == 1
+    assert events[0]["InputRecords"] >= 200_000 and events[0]["Jobs"] >= 1 and events[0]["ExecutorRunTimeMs"] >= 0
+
+
+def test_streamed_blocks_wait_in_files(spark):
+    c = connect(spark)
+    name = f"streamed_{uuid.uuid4().hex[:8]}"
+    c.query(f"CREATE TABLE {name} (id UInt32) ENGINE = MergeTree() ORDER BY id")
+    for finish in (False, True):
+        stream = c.start_streaming_insert(f"INSERT INTO {name} VALUES", [("id", "UInt32")])
+        stream.flush_rows = 10
+        for at in range(0, 40, 4):
+            stream.send([{"name": "id", "data": list(range(at, at + 4))}])
+        path = stream.path
+        assert path and len(stream.blocks) < 3 and c.spark.table(name).count() == 0
+        if finish:
+            assert stream.finish()["rows_inserted"] == 40
+        else:
+            stream.abort()
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        assert not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+    assert sorted(r["id"] for r in c.spark.table(name).collect()) == list(range(40))

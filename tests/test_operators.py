@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from colonnade.errors import ValidationError
+from colonnade.errors import EngineError, ValidationError
 from colonnade.operators import columns as C
 from colonnade.operators import relational as R
 from colonnade.sources import sinks
@@ -34,7 +34,26 @@ def test_joins(spark):
     right = spark.createDataFrame([(1, 5, "x"), (1, 7, "y"), (2, 3, "z")], "k int, t int, v string")
     got = {(r["k"], r["t"]): r["v"] for r in R.as_of_join(left, right, "k", "t", ["v"]).collect()}
     assert got == {(1, 5): "x", (1, 10): "y", (2, 1): None}
-    assert R.skewed_join(left, right.select("k", "v"), "k", 3).count() == 5
+    assert R.skewed_join(left, right.select("k", "v"), "k", 3).count() == R.skewed_join(left, right.select("k", "v"), "k", 3, hot=[1]).count() == 5
+    assert R.skewed_join(left, right.where("k = 2").select("k", "v"), "k", 3, "left", hot=[1, 2]).count() == 3
+    with pytest.raises(EngineError):
+        R.skewed_join(left, right, "k", 3, "full")
+    big = spark.range(5000).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("k"))
+    assert R.hot_keys(big, "k") == [1] and R.skewed_join(big, spark.createDataFrame([(1, "x"), (4000, "y")], "k long, v string"), "k").count() == 3001
+    wide = spark.createDataFrame([(0.0, 1e9, "wide"), (5.0, 6.0, "thin"), (6.0, 6.0, "none"), (-3.0, 2.5, "low")], "lo double, hi double, name string")
+    points = spark.createDataFrame([(-3.0,), (2.5,), (5.5,), (6.0,), (9.9e8,), (1e9,), (None,)], "p double")
+    got = sorted((r["p"], r["name"]) for r in R.range_join(points, wide, "p", "lo", "hi", 1).collect())
+    assert got == [(-3.0, "low"), (2.5, "wide"), (5.5, "thin"), (5.5, "wide"), (6.0, "wide"), (9.9e8, "wide")]
+
+
+def test_totals_and_extremes_read_once(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 4)], "k string, v int")
+    both = R.group_with_totals(df, ["k"], [F.sum("v").alias("s")])
+    assert sorted(map(str, (tuple(r) for r in both.collect()))) == sorted(["('a', False, 1)", "('b', False, 2)", "(None, False, 4)", "(None, True, 7)"])
+    low_high = R.extremes_of(df)
+    assert [tuple(r) for r in low_high.collect()] == [("min", "a", 1), ("max", "b", 4)]
+    for out in (both, low_high):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
 
 
 def test_sinks(spark, tmp_path):

@@ -42,7 +42,7 @@ def test_entry_without_llm(monkeypatch, spark):
 
     def without(name, *args, **kwargs):
         if name.startswith(("colonnade.llm", "corpus_pipeline")):
-            raise ImportError(name)
+            raise ModuleNotFoundError(name, name=name)
         return real(name, *args, **kwargs)
 
     for name in [n for n in sys.modules if n.startswith(("colonnade.llm", "corpus_pipeline", "__spark_entry__"))]:
