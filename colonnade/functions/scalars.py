@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ipaddress
+import time
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -154,6 +155,13 @@ def wide_add(bits: int, signed: bool = True):
     return add
 
 
+def sleep(seconds: pd.Series) -> pd.Series:
+    """Waits once a batch, three seconds at most, and gives 0; for tests of timeouts and cancelling."""
+    time.sleep(min(3.0, max(0.0, float(seconds.max()))) if len(seconds) else 0)
+    return (seconds.astype("float64") * 0).astype("int32")
+
+
 def register(spark: SparkSession) -> None:
     """Functions that the dialect's text calls."""
     spark.udf.register("canonical_ipv6", canonical_ipv6)
+    spark.udf.register("sleep", F.pandas_udf(sleep, "int"))

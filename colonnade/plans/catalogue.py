@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -711,3 +712,19 @@ def ext_file_formats(spark, d):
         df.write.format(kind).save(path)
         df = read(spark, path, kind, df.schema)
     return df
+
+
+@query("SELECT n_nationkey, 0 AS waited, true AS dated FROM nation")
+def dialect_sleep_and_clock(spark, d):
+    return _dialect(spark, d, "SELECT n_nationkey, sleep(0.01) AS waited, today() <= toDate(now()) AND length(version()) > 0 AS dated FROM nation", "nation")
+
+
+@query("SELECT c_nationkey, round(sum(c_acctbal) / count(*), 6) AS mean FROM customer GROUP BY 1")
+def ext_udaf(spark, d):
+    """A grouped aggregate in pandas, over Arrow batches."""
+
+    @F.pandas_udf("double")
+    def mean(values: pd.Series) -> float:
+        return float(values.mean())
+
+    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.round(mean("c_acctbal"), 6).alias("mean"))
