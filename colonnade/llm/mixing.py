@@ -107,6 +107,7 @@ def curriculum(mixed: DataFrame) -> DataFrame:
 
 
 def by_position(mixed: DataFrame) -> DataFrame:
-    """One row per document, range-sorted by its first copy's position, documents left out last."""
-    out = mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", position(F.lit(0)).alias("first_position"))
+    """One row per document with the positions of all its copies, range-sorted by the first, documents left out last."""
+    each = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), position)).otherwise(F.array().cast("array<double>"))
+    out = mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", position(F.lit(0)).alias("first_position"), each.alias("positions"))
     return out.orderBy(F.asc_nulls_last("first_position"), "doc_id")
