@@ -6,6 +6,7 @@ Everything that leaves a job goes through the shared folder named by
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -35,11 +36,27 @@ _staged: list[str] = []
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; what is there when this process ends is removed then."""
+    if not _staged:
+        atexit.register(_sweep, spark._jvm, spark._jsc.hadoopConfiguration())
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     _staged.append(path)
     return path
 
 
+def _remove(jvm, conf, path: str) -> None:
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
+
+
+def _sweep(jvm, conf) -> None:
+    for path in _staged:
+        try:
+            _remove(jvm, conf, path)
+        except Exception:  # the JVM is gone already: nothing more can be done from here
+            return
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A runtime setting, where Spark knows it, for as long as the block runs."""
@@ -69,11 +86,10 @@ def staged() -> list[str]:
 
 def drop_paths(spark: SparkSession, paths: list[str]) -> None:
     """Remove staged paths that no frame still to be run reads."""
-    for file in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        if file in _staged:
-            _staged.remove(file)
+    for path in paths:
+        _remove(spark._jvm, spark._jsc.hadoopConfiguration(), path)
+        if path in _staged:
+            _staged.remove(path)
 
 
 def drop_table(df: DataFrame) -> None:
