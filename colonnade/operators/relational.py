@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,16 +41,27 @@ def numbers(spark: SparkSession, size: int, start: int = 0) -> DataFrame:
     return spark.range(start, start + size).select(F.col("id").alias("number"))
 
 
-def as_of_join(left: DataFrame, right: DataFrame, on: str, time: str, values: list[str]) -> DataFrame:
+def as_of_join(left: DataFrame, right: DataFrame, on: str, time: str, values: list[str], cell: Callable[[Column], Column] | None = None) -> DataFrame:
     """Each left row with the values of the last right row of its key at or before its time.
 
-    Both sides go through one shuffle on the key and a running last value, so rows never meet in pairs.
+    Both sides go through one shuffle and a running last value, so rows never meet in pairs. `cell`, a rising function of time such as
+    its day, spreads a key's rows over tasks by cell: what earlier cells end with is one row a cell, carried on in a second, small pass.
     """
     kind = "struct<" + ",".join(f"`{v}`:{right.schema[v].dataType.simpleString()}" for v in values) + ">"
     marked = left.select(on, time, F.struct(*left.columns).alias("_left"), F.lit(None).cast(kind).alias("_right"), F.lit(1).alias("_side"))
     rows = marked.unionByName(right.select(on, time, F.lit(None).cast(marked.schema["_left"].dataType).alias("_left"), F.struct(*values).alias("_right"), F.lit(0).alias("_side")))
-    along = W.partitionBy(on).orderBy(time, "_side").rowsBetween(W.unboundedPreceding, 0)
+    keys = [on] if cell is None else [on, "_cell"]
+    if cell is not None:
+        rows = rows.withColumn("_cell", cell(F.col(time)))
+    along = W.partitionBy(*keys).orderBy(time, "_side").rowsBetween(W.unboundedPreceding, 0)
     found = rows.withColumn("_last", F.last("_right", ignorenulls=True).over(along)).where("_side = 1")
+    if cell is not None:
+        ends = rows.where("_side = 0").groupBy(*keys).agg(F.max_by("_right", time).alias("_end"))
+        cells = rows.select(*keys).distinct().join(ends, keys, "left")
+        before = W.partitionBy(on).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+        carried = cells.withColumn("_before", F.last("_end", ignorenulls=True).over(before)).select(*[F.col(k).alias(f"_{k}") for k in keys], "_before")
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        found = found.join(carried, same, "left").withColumn("_last", F.coalesce("_last", "_before"))
     return found.select("_left.*", *[F.col(f"_last.`{v}`").alias(v) for v in values])
 
 

@@ -463,7 +463,7 @@ def ext_join_range(spark, d):
 def ext_join_asof(spark, d):
     events = table(spark, d, "events")
     buys = events.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("event_id").alias("buy_id"))
-    return R.as_of_join(events.where("event_type = 'click'").select("event_id", "user_id", "ts"), buys, "user_id", "ts", ["buy_id"]).select("event_id", "buy_id")
+    return R.as_of_join(events.where("event_type = 'click'").select("event_id", "user_id", "ts"), buys, "user_id", "ts", ["buy_id"], lambda t: F.date_trunc("day", t)).select("event_id", "buy_id")
 
 
 @query("SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 49")

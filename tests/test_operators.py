@@ -34,6 +34,10 @@ def test_joins(spark):
     right = spark.createDataFrame([(1, 5, "x"), (1, 7, "y"), (2, 3, "z")], "k int, t int, v string")
     got = {(r["k"], r["t"]): r["v"] for r in R.as_of_join(left, right, "k", "t", ["v"]).collect()}
     assert got == {(1, 5): "x", (1, 10): "y", (2, 1): None}
+    many = spark.range(3000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 1000).cast("int").alias("t"), "id")
+    some = spark.range(60).select((F.col("id") % 4).alias("k"), (F.col("id") * 37 % 1000).cast("int").alias("t"), F.col("id").cast("string").alias("v"))
+    plain, by_cell = (R.as_of_join(many, some, "k", "t", ["v"], cell).collect() for cell in (None, lambda t: F.floor(t / 50)))
+    assert sorted(map(str, plain)) == sorted(map(str, by_cell)) and sum(r["v"] is None for r in plain) > 0
     assert R.skewed_join(left, right.select("k", "v"), "k", 3).count() == R.skewed_join(left, right.select("k", "v"), "k", 3, hot=[1]).count() == 5
     assert R.skewed_join(left, right.where("k = 2").select("k", "v"), "k", 3, "left", hot=[1, 2]).count() == 3
     with pytest.raises(EngineError):
