@@ -330,7 +330,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int =
     groups = held.groupBy("key").agg(F.array_sort(F.collect_set("own")).alias("members")).where(F.size("members") > 1).select("members").distinct()
     met = stage_table(groups.select(F.xxhash64("members").alias("group"), F.explode("members").alias("own")), "set-groups")
     wanted = sets.select("own", "text_hash").join(met.select("own").distinct(), "own", "left_semi").select("text_hash")
-    whole = texts.select("text_hash", "text").join(wanted, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+    whole = texts.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash", "left_semi")  # each task sends a text once
 
     def shingles(batch: pa.RecordBatch) -> dict:
         sets = [np.unique(shingle_hashes(t, shingle)) for t in binaries(batch.column("text"))]

@@ -74,6 +74,22 @@ def test_op5_oracle_where_steps_are_above_one(spark):
     assert sorted(map(tuple, got)) == sorted(found)
 
 
+def test_op8_against_every_pair(spark):
+    """Myers' distance of every item to every whole text, without pieces."""
+    docs = [(r["doc_id"], decontam.normalise(r["text"])) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
+    items = [(r["item_id"], decontam.normalise(r["text"])) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
+    want = []
+    for item, text in items:
+        masks: dict[str, int] = {}
+        for i, c in enumerate(f" {text} "):
+            masks[c] = masks.get(c, 0) | 1 << i
+        for doc, plain in docs:
+            if (best := decontam.myers(masks, len(text) + 2, f" {plain} ")[0]) <= int(0.08 * len(text)):
+                want.append((doc, item, best))
+    got = queries.op8_benchmark_decontamination(spark, DIR).select("doc_id", "item_id", "distance").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 0
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     before = {r["doc_id"]: r for r in docs.collect()}
