@@ -13,7 +13,8 @@ The SVM being linear in a sum over strings, each different string has one value;
 remembered while the cache has room, so a text costs a look-up a token.
 
 Fitted on the driver from whole texts of at most `per_class` labelled rows of each class with `class_bytes` in all. Every whole
-text is scored. Parameters of the kernel: subsequences of 3 letters (shorter strings count nothing) that span up to 8; letters other than a-z in 37 classes.
+text is scored. Parameters of the kernel: subsequences of 3 letters (shorter strings count nothing) that span up to 7; letters other than a-z in 37 classes.
+Candidates for landmarks are the 800 strings most typical of toxic sentences, and of the 20,000 most usual clean ones the 600 likest to them.
 Tokens over 24 letters are taken in windows of 24 with 12 letters overlap, the foremost of which counts; sentences over 32 tokens in pieces of 32.
 
 Defined results: as for the quality classifier; without labels of both classes every score is
@@ -35,19 +36,20 @@ from pyspark.sql import functions as F
 from .quality import apply, logistic, sample
 
 # Digits and signs that stand for letters.
-STANDS_FOR = str.maketrans("013457@", "oieasta")
-DROPPED = str.maketrans("", "", "!\"#$%&'()*+,-./:;<=>?[\\]^_`{|}~")
+LETTERS_OF = str.maketrans("013457@", "oieasta", "!\"#$%&'()*+,-./:;<=>?[\\]^_`{|}~")  # and punctuation, which is dropped
 SENTENCE_END = re.compile(r"[.!?][\"')\]]*$")
 LONGEST, STEP, PIECE = 24, 12, 32
 LETTERS = 64
+CHUNK = 64  # strings judged at once, so that what is multiplied stays in cache
 
-BENT_WEIGHT = 1.6  # of toxic texts with letters put in, against the texts themselves
+BENT_WEIGHT = 2.2  # of toxic texts with letters put in, against the texts themselves
 MARKS = (0.3, 0.7, 1.3, 2.2)  # values from which a string counts as toxic, on four scales
 BREAK = "\x00"
+CLOSING = frozenset(".!?\"')]" + BREAK)
 
 
 def string_of(token: str) -> str:
-    return token.translate(DROPPED).translate(STANDS_FOR)
+    return token.translate(LETTERS_OF)
 
 
 def windows(string: str) -> list[str]:
@@ -92,7 +94,7 @@ def kernel(a: dict[int, float], b: dict[int, float]) -> float:
 @dataclass
 class KernelModel:
     landmarks: list[str] = field(default_factory=list)
-    span: int = 8
+    span: int = 7
     decay: float = 0.8
     power: int = 3  # of the normalised kernel, which stays a kernel and tells near from far more sharply
     beta: np.ndarray = field(default_factory=lambda: np.zeros(0))  # a string's value is beta times its kernels with the landmarks
@@ -128,8 +130,8 @@ class KernelModel:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for length in np.unique(lengths[lengths >= 3]).tolist():
             group = np.flatnonzero(lengths == length)
-            for lo in range(0, len(group), 512):
-                part = group[lo : lo + 512]
+            for lo in range(0, len(group), CHUNK):
+                part = group[lo : lo + CHUNK]
                 codes, wide = triples([words[i] for i in part.tolist()], self.span)
                 decay = (self.decay**wide).astype(np.float32)
                 rows = row[codes]
@@ -139,11 +141,10 @@ class KernelModel:
                 cuts = np.flatnonzero(np.diff(i, prepend=-1))
                 met = i[cuts]
                 k = np.add.reduceat(weight[rows[i, t]] * decay[t, None], cuts, axis=0)
-                order = np.argsort(codes[met], axis=1, kind="stable")  # the strings' own kernels
-                same = np.take_along_axis(codes[met], order, axis=1)
-                run = np.concatenate((np.ones((len(met), 1), bool), same[:, 1:] != same[:, :-1]), axis=1).ravel()
+                pairs = np.sort(codes[met] * 64 + wide, axis=1)  # the strings' own kernels, from codes in order
+                run = np.concatenate((np.ones((len(met), 1), bool), pairs[:, 1:] >> 6 != pairs[:, :-1] >> 6), axis=1).ravel()
                 starts = np.flatnonzero(run)
-                sums = np.add.reduceat(decay[order].ravel(), starts) ** 2
+                sums = np.add.reduceat((self.decay ** np.arange(64))[pairs.ravel() & 63], starts) ** 2
                 own = np.bincount(starts // codes.shape[1], sums, minlength=len(met))
                 out[part[met]] = (k / np.sqrt(own)[:, None].astype(np.float32)) ** self.power
         return out
@@ -153,7 +154,7 @@ class KernelModel:
         cut = [windows(s) for s in strings]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         flat = [w for x in cut for w in x]
-        found = np.concatenate([self.kernels(flat[at : at + 8192]) @ self.beta for at in range(0, len(flat), 8192)] or [np.empty(0)])
+        found = np.concatenate([np.einsum("ij,j->i", self.kernels(flat[at : at + 8192]), self.beta) for at in range(0, len(flat), 8192)] or [np.empty(0)])
         return np.maximum.reduceat(found, np.cumsum(sizes) - sizes) if len(strings) else found
 
     def features(self, tokens: list[list[str]]) -> np.ndarray:
@@ -210,18 +211,22 @@ class _Known:
             self.__init__(self.model)
             new = set(tokens)
         if new:
-            listed = sorted(new)
-            strings = [string_of(t) for t in listed]
-            fresh = sorted(set(strings).difference(self.strings))
+            listed = list(new)
+            strings = [t.translate(LETTERS_OF) for t in listed]
+            fresh = list(set(strings).difference(self.strings))
             self.strings.update(zip(fresh, self.model.values(fresh).tolist()))
             at = len(self.index)
             self.index.update(zip(listed, range(at, at + len(listed))))
-            self.value = np.concatenate([self.value, np.array([self.strings[s] for s in strings], np.float32)])
-            self.ends = np.concatenate([self.ends, np.array([t == BREAK or bool(SENTENCE_END.search(t)) for t in listed])])
+            self.value = np.concatenate([self.value, np.fromiter(map(self.strings.__getitem__, strings), np.float32, len(strings))])
+            self.ends = np.concatenate([self.ends, np.fromiter(map(ends_sentence, listed), bool, len(listed))])
             self.single = np.concatenate([self.single, np.array([len(s) == 1 and s.isalpha() for s in strings])])
         return np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
 
 
+def ends_sentence(token: str) -> bool:
+    return token[-1] in CLOSING and (token == BREAK or bool(SENTENCE_END.search(token)))
+
+
 def tokens_of(text: str) -> list[str]:
     return text.lower().replace("\n", f" {BREAK} ").split()
 
@@ -253,7 +258,7 @@ def sentences_of(tokens: list[str]) -> list[tuple[str, ...]]:
     strings = [string_of(t) for t in tokens]
     fresh = np.zeros(len(tokens), bool)
     fresh[0] = True
-    ends = np.array([t == BREAK or bool(SENTENCE_END.search(t)) for t in tokens])
+    ends = np.array([ends_sentence(t) for t in tokens])
     begins = sentence_begins(ends, fresh)
     for a, b in single_runs(np.array([len(s) == 1 and s.isalpha() for s in strings]), begins):
         strings[a] = "".join(strings[a:b])
@@ -267,9 +272,14 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, start: n
     pull = np.full(len(w), ridge * weight.sum())
     pull[-1] *= 1e-3
     for _ in range(20):
-        inside = y * (x @ w) < 1
-        xi, wi = x[inside].astype(np.float64), weight[inside]
-        new = np.linalg.solve((xi * wi[:, None]).T @ xi + np.diag(pull), xi.T @ (wi * y[inside]))
+        inside = np.flatnonzero(y * (x @ w.astype(np.float32)) < 1)
+        gram, right = np.diag(pull), np.zeros(len(w))
+        for at in range(0, len(inside), 8192):
+            part = inside[at : at + 8192]
+            xi, wi = x[part].astype(np.float64), weight[part]
+            gram += (xi * wi[:, None]).T @ xi
+            right += xi.T @ (wi * y[part])
+        new = np.linalg.solve(gram, right)
         if np.abs(new - w).max() < 1e-3:
             break
         w = new
@@ -297,7 +307,7 @@ def bent(string: str, chance: random.Random) -> str:
     return string[:at] + chr(chance.randrange(97, 123)) + string[at:]
 
 
-def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic_marks: int = 160, clean_marks: int = 64, rounds: int = 5, ridge: float = 1e-5, power: int = 3, bent_share: float = 0.25, seed: int = 11) -> KernelModel:
+def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic_marks: int = 140, clean_marks: int = 40, rounds: int = 5, ridge: float = 1e-5, power: int = 3, bent_share: float = 0.25, seed: int = 11) -> KernelModel:
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
     if not texts[0] or not texts[1]:
@@ -309,7 +319,7 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     each = {y: sorted({s for bag in bags[y] for s in bag}) for y in (0, 1)}
     found, usual = (Counter(w for s in each[y] for w in set(s)) for y in (1, 0))
     lift = {w: np.log((n + 0.5) / (len(each[1]) + 1)) - np.log((usual[w] + 0.5) / (len(each[0]) + 1)) for w, n in found.items() if n >= 2}
-    pool = sorted((w for w in lift if lift[w] > 0.5), key=lambda w: (-found[w] * lift[w], w))[:1200]
+    pool = sorted((w for w in lift if lift[w] > 0.5), key=lambda w: (-found[w] * lift[w], w))[:800]
     if not pool:
         return KernelModel(prior=prior)
     model = KernelModel(landmarks=pool, prior=prior, power=power)
@@ -328,42 +338,42 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     words = {w: n for n, w in enumerate(sorted({*found, *usual}))}
     mapped = np.concatenate([model.kernels(part) @ nystrom for part in _blocks(list(words), 8192)])
 
-    def rows(sentences: list[tuple[str, ...]]) -> np.ndarray:
-        out = np.zeros((len(sentences), mapped.shape[1] + 1), np.float32)
-        out[:, -1] = 1
-        for n, s in enumerate(sentences):
-            if s:
-                out[n, :-1] = mapped[[words[w] for w in s]].sum(axis=0)
-        return out
+    sentences, n1, room = [*each[1], *each[0]], len(each[1]), 4000  # toxic ones, clean ones, and room for strings with letters put in
+    x = np.zeros((len(sentences) + room, len(nystrom) + 1), np.float32)
+    x[:, -1] = 1
+    for n, s in enumerate(sentences):
+        if s:
+            x[n, :-1] = mapped[[words[w] for w in s]].sum(axis=0)
 
     place = {s: n for n, s in enumerate(each[1])}
     members = [np.array([place[s] for s in bag], np.int64) for bag in bags[1] if bag]
-    x1, x0 = rows(each[1]), rows(each[0])
-    share = np.zeros(len(x1))  # a text's weight is shared by its toxic sentences
+    share = np.zeros(n1)  # a text's weight is shared by its toxic sentences
     for m in members:
         share[m] += 1 / len(m)
-    extra, weights = np.zeros((0, x1.shape[1]), np.float32), None
+    extra, weights = 0, None
     for turn in range(rounds):
-        x = np.vstack([x1, extra, x0])
-        picked = share > 0
-        y = np.concatenate([np.where(picked, 1.0, -1.0), np.ones(len(extra)), -np.ones(len(x0))])
-        weight = np.concatenate([np.where(picked, (0.45 - bent_share) * share / share.sum(), 0.05 / len(x1)), np.full(len(extra), bent_share / max(1, len(extra))), np.full(len(x0), 0.5 / len(x0))])
-        weights = svm(x, y, weight, max(ridge, 2 / len(x)), weights)
-        decision = x1 @ weights
-        share = np.zeros(len(x1))
+        picked, used = share > 0, len(sentences) + extra
+        y = np.concatenate([np.where(picked, 1.0, -1.0), -np.ones(len(each[0])), np.ones(extra)])
+        weight = np.concatenate([np.where(picked, (0.45 - bent_share) * share / share.sum(), 0.05 / n1), np.full(len(each[0]), 0.5 / len(each[0])), np.full(extra, bent_share / max(1, extra))])
+        weights = svm(x[:used], y, weight, max(ridge, 2 / used), weights)
+        decision = x[:n1] @ weights.astype(np.float32)
+        share = np.zeros(n1)
         for m in members:
             hit = m[decision[m] > 0]
             hit = hit if len(hit) else m[[int(decision[m].argmax())]]
             share[hit] += 1 / len(hit)
-        worth = mapped @ weights[:-1]
+        worth = mapped @ weights[:-1].astype(np.float32)
         marks = sorted({max(s, key=lambda w: (worth[words[w]], w)) for s in (each[1][n] for n in np.flatnonzero(share > 0)) if s})
-        marks = [w for w in marks if worth[words[w]] > 0.5][:2000]
-        bends = [bent(w, chance) for w in marks for _ in range(2)]
-        extra = np.column_stack([model.kernels(bends) @ nystrom, np.ones(len(bends))]).astype(np.float32) if bends and turn else extra
+        marks = sorted((w for w in marks if worth[words[w]] > 0.5), key=lambda w: (-worth[words[w]], w))[: room // 2]
+        if turn and marks:
+            bends = [bent(w, chance) for w in marks for _ in range(2)]
+            extra = len(bends)
+            x[len(sentences) : len(sentences) + extra, :-1] = model.kernels(bends) @ nystrom
     model.beta, model.bias = (nystrom @ weights[:-1]).astype(np.float32), float(weights[-1])
     model.name = hash((tuple(model.landmarks), model.beta.tobytes(), model.bias))
 
     # the curve learns from all sampled texts, and from the toxic ones with letters put into their foremost strings
+    del x, mapped
     known = _Known.of(model)
     twisted = []
     for t in tokens[1] * 3:
@@ -380,6 +390,6 @@ def _blocks(items: list, size: int) -> list[list]:
     return [items[at : at + size] for at in range(0, len(items), size)]
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 1500, class_bytes: int = 3_000_000, threshold: float = 0.7) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 1500, class_bytes: int = 4_000_000, threshold: float = 0.7) -> DataFrame:
     """One row per document: doc_id, score (0 to 1, higher: label 1 likelier), predicted."""
     return apply(docs, fit(*sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class, class_bytes)), threshold)
