@@ -30,6 +30,8 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,6 @@ SENTENCE_END = re.compile(r"[.!?][\"')\]]*$")
 LONGEST, STEP, PIECE = 24, 12, 32
 LETTERS = 64
 CHUNK = 64  # strings judged at once, so that what is multiplied stays in cache
-
 BENT_WEIGHT = 2.2  # of toxic texts with letters put in, against the texts themselves
 MARKS = (0.3, 0.7, 1.3, 2.2)  # values from which a string counts as toxic, on four scales
 BREAK = "\x00"
@@ -127,66 +128,62 @@ class KernelModel:
         """Normalised kernel, to the power, of each string (of 24 letters at most) with each landmark."""
         row, weight = self.table()
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
+        powers = self.decay ** np.arange(64)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for length in np.unique(lengths[lengths >= 3]).tolist():
             group = np.flatnonzero(lengths == length)
             for lo in range(0, len(group), CHUNK):
                 part = group[lo : lo + CHUNK]
                 codes, wide = triples([words[i] for i in part.tolist()], self.span)
-                decay = (self.decay**wide).astype(np.float32)
-                rows = row[codes]
-                i, t = np.nonzero(rows)
-                if not len(i):
-                    continue
-                cuts = np.flatnonzero(np.diff(i, prepend=-1))
-                met = i[cuts]
-                k = np.add.reduceat(weight[rows[i, t]] * decay[t, None], cuts, axis=0)
-                pairs = np.sort(codes[met] * 64 + wide, axis=1)  # the strings' own kernels, from codes in order
-                run = np.concatenate((np.ones((len(met), 1), bool), pairs[:, 1:] >> 6 != pairs[:, :-1] >> 6), axis=1).ravel()
+                k = np.matmul(powers[wide].astype(np.float32), weight[row[codes]])
+                pairs = np.sort(codes * 64 + wide, axis=1)  # the strings' own kernels, from codes in order
+                run = np.concatenate((np.ones((len(part), 1), bool), pairs[:, 1:] >> 6 != pairs[:, :-1] >> 6), axis=1).ravel()
                 starts = np.flatnonzero(run)
-                sums = np.add.reduceat((self.decay ** np.arange(64))[pairs.ravel() & 63], starts) ** 2
-                own = np.bincount(starts // codes.shape[1], sums, minlength=len(met))
-                out[part[met]] = (k / np.sqrt(own)[:, None].astype(np.float32)) ** self.power
+                sums = np.add.reduceat(powers[pairs.ravel() & 63], starts) ** 2
+                own = np.bincount(starts // codes.shape[1], sums, minlength=len(part))
+                out[part] = (k / np.sqrt(own)[:, None].astype(np.float32)) ** self.power
         return out
 
     def values(self, strings: list[str]) -> np.ndarray:
         """The value of each string; of a long one its foremost window's."""
-        cut = [windows(s) for s in strings]
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = [w for x in cut for w in x]
-        found = np.concatenate([np.einsum("ij,j->i", self.kernels(flat[at : at + 8192]), self.beta) for at in range(0, len(flat), 8192)] or [np.empty(0)])
-        return np.maximum.reduceat(found, np.cumsum(sizes) - sizes) if len(strings) else found
-
-    def features(self, tokens: list[list[str]]) -> np.ndarray:
-        """Of each text, given as tokens: its three foremost sentences' decisions, the number of toxic sentences, and the number and density of toxic strings."""
-        known = _Known.of(self)
-        n = len(tokens)
-        sizes = np.fromiter(map(len, tokens), np.int64, n)
-        flat = [t for x in tokens for t in x]
+        long = [n for n, s in enumerate(strings) if len(s) > LONGEST]
+        found = self._short_values([s[:LONGEST] for s in strings])
+        if long:
+            cut = [windows(strings[n]) for n in long]
+            sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+            found[long] = np.maximum.reduceat(self._short_values([w for x in cut for w in x]), np.cumsum(sizes) - sizes)
+        return found
+
+    def _short_values(self, strings: list[str]) -> np.ndarray:
+        return np.concatenate([np.einsum("ij,j->i", self.kernels(part), self.beta) for part in _blocks(strings, 8192)] or [np.empty(0, np.float32)])
+
+    def features(self, words: list[str], at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of each text, given as encoded() gives it: its three foremost sentences' decisions, the number of toxic sentences, and the number and density of toxic strings."""
+        known, n = _Known.of(self), len(sizes)
         top = np.full((n, 3), -1.0)  # of sentences that are not there
-        if not flat:
+        if not len(at):
             return np.column_stack([top, np.zeros((n, 1 + 2 * len(MARKS))), np.ones(n)])
-        marks, doc = known.look_up(flat), np.repeat(np.arange(n), sizes)
+        marks, doc = known.look_up(words)[at], np.repeat(np.arange(n), sizes)
         value, single = known.value[marks], known.single[marks]
         fresh = np.concatenate(([True], doc[1:] != doc[:-1]))
         begins = sentence_begins(known.ends[marks], fresh)
         for a, b in single_runs(single, begins):
-            value[a] += self.values(["".join(map(string_of, flat[a:b]))])[0]
+            value[a] += self.values(["".join(string_of(words[k]) for k in at[a:b].tolist())])[0]
         starts = piece_starts(begins)
         decision = np.clip(np.add.reduceat(value, starts) + self.bias, -3, 3)
         own = doc[starts]
         order = np.lexsort((-decision, own))
         rank = np.arange(len(order)) - np.searchsorted(own, own[order])
         for k in range(3):
-            at = order[rank == k]
-            top[own[at], k] = decision[at]
+            best = order[rank == k]
+            top[own[best], k] = decision[best]
         marked = np.column_stack([np.bincount(doc, np.clip(2 * (value / mark - 1), 0, 1), minlength=n) for mark in MARKS])
         return np.column_stack([top, np.log1p(np.bincount(own, decision > 0, minlength=n)), np.log1p(marked), np.log1p(200 * marked / (sizes[:, None] + 20)), np.ones(n)])
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not self.landmarks:
             return np.full(len(texts), self.prior)
-        x = self.features([tokens_of(t.decode(errors="replace")) for t in texts])
+        x = self.features(*encoded(texts))
         return 1 / (1 + np.exp(-np.clip(x @ self.curve, -30, 30)))
 
 
@@ -227,8 +224,27 @@ def ends_sentence(token: str) -> bool:
     return token[-1] in CLOSING and (token == BREAK or bool(SENTENCE_END.search(token)))
 
 
-def tokens_of(text: str) -> list[str]:
-    return text.lower().replace("\n", f" {BREAK} ").split()
+def split(texts: list[bytes]) -> pa.ListArray:
+    """The tokens of texts, in lower case; line ends are tokens too."""
+    lower = pc.utf8_lower(pa.array(texts, pa.binary()).cast(pa.string()))
+    return pc.utf8_split_whitespace(pc.replace_substring(lower, "\n", f" {BREAK} "))
+
+
+def encoded(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different tokens, their number at each place, tokens of each text)."""
+    lists = split(texts)
+    flat, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+    held = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # blanks at either end of a text
+    if not held.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[held], minlength=len(sizes))
+        flat = flat.filter(pa.array(held))
+    coded_ = flat.dictionary_encode()
+    return coded_.dictionary.to_pylist(), coded_.indices.to_numpy(), sizes
+
+
+def encoded_lists(tokens: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    flat = pa.array([t for x in tokens for t in x], pa.string()).dictionary_encode()
+    return flat.dictionary.to_pylist(), flat.indices.to_numpy(), np.fromiter(map(len, tokens), np.int64, len(tokens))
 
 
 def sentence_begins(ends: np.ndarray, fresh: np.ndarray) -> np.ndarray:
@@ -288,7 +304,7 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, start: n
 
 def pivots(gram: np.ndarray, weight: np.ndarray, n: int) -> list[int]:
     """Rows picked one after the other by weight times what the rows picked before leave unexplained (pivoted Cholesky)."""
-    left, rows, picked = np.diag(gram).astype(np.float64).copy(), np.zeros((0, len(gram))), []
+    left, rows, picked = np.round(np.diag(gram).astype(np.float64), 4), np.zeros((0, len(gram))), []
     for _ in range(min(n, len(gram))):
         gain = weight * left
         at = int(gain.argmax())
@@ -313,7 +329,7 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     if not texts[0] or not texts[1]:
         return KernelModel(prior=prior)
     chance = random.Random(seed)
-    tokens = {y: [tokens_of(t.decode(errors="replace")) for _, t in texts[y]] for y in (0, 1)}
+    tokens = {y: [[t for t in x if t] for x in split([t for _, t in texts[y]]).to_pylist()] for y in (0, 1)}
     bags = {y: [sorted(set(sentences_of(t))) for t in tokens[y]] for y in (0, 1)}
     # strings are counted over different sentences, so that copies of a text count once
     each = {y: sorted({s for bag in bags[y] for s in bag}) for y in (0, 1)}
@@ -327,10 +343,11 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     # and the clean strings that are most like those, by how usual they are
     model = KernelModel(landmarks=toxic, prior=prior, power=power)
     clean = sorted(usual, key=lambda w: (-usual[w], w))[:20_000]
-    near = model.kernels(clean).max(axis=1) * np.log1p([usual[w] for w in clean])
-    clean = [clean[i] for i in np.argsort(-near, kind="stable")[:600].tolist() if clean[i] not in set(toxic)]
+    near = model.kernels(clean).max(axis=1).astype(np.float64) * np.log1p([usual[w] for w in clean])
+    picked = [i for i in np.argsort(-near, kind="stable")[:600].tolist() if clean[i] not in set(toxic)]
+    clean, near = [clean[i] for i in picked], near[picked]
     model = KernelModel(landmarks=clean, prior=prior, power=power)
-    clean = [clean[i] for i in pivots(model.kernels(clean).astype(np.float64), np.ones(len(clean)), clean_marks)] if clean else []
+    clean = [clean[i] for i in pivots(model.kernels(clean).astype(np.float64), np.sqrt(near), clean_marks)] if clean else []
     model = KernelModel(landmarks=toxic + clean, prior=prior, power=power)
     value, vector = np.linalg.eigh(model.kernels(model.landmarks).astype(np.float64))
     nystrom = (vector / np.sqrt(np.maximum(value, 1e-2))).astype(np.float32)
@@ -379,7 +396,7 @@ def fit(texts: dict[int, list[tuple[int, bytes]]], counts: dict[int, int], toxic
     for t in tokens[1] * 3:
         marks = known.look_up(t)
         twisted.append([bent(x, chance) if v > 0.5 else x for x, v in zip(t, known.value[marks])])
-    x = model.features([*tokens[1], *twisted, *tokens[0]])
+    x = model.features(*encoded_lists([*tokens[1], *twisted, *tokens[0]]))
     y = np.repeat([1, 1, 0], [len(tokens[1]), len(twisted), len(tokens[0])])
     weight = np.repeat([prior / len(tokens[1]), BENT_WEIGHT * prior / len(twisted), (1 - prior) / len(tokens[0])], [len(tokens[1]), len(twisted), len(tokens[0])]) * len(y)
     model.curve = logistic(x, y, weight, ridge=3e-3)

@@ -585,11 +585,11 @@ def test_kernels_equal_the_plain_kernel():
 def test_text_values_are_sums_over_sentences():
     model = toxicity.KernelModel(landmarks=["nitwit", "gentle"], beta=np.array([2.0, -1.0], np.float32), bias=-0.5, curve=np.ones(6 + 2 * len(toxicity.MARKS) - 1), name=1)
     text = "You nitwit, n i t w i t. A gentle word\nand nitwits! " + "plain " * 40 + "nitwit"
-    x = model.features([toxicity.tokens_of(text), []])
+    x = model.features(*toxicity.encoded([text.encode(), b"", b" \n "]))
     value = lambda *w: float(np.clip(model.values(list(w)).sum() - 0.5, -3, 3))
     want = sorted([value("you", "nitwit", "nitwit"), value("gentle", "word"), value("and", "nitwits"), value(*["plain"] * 32), value(*["plain"] * 8, "nitwit")], reverse=True)
     assert x[0, :3] == pytest.approx(want[:3], abs=1e-4) and x[1, :3] == pytest.approx([-1] * 3)
-    assert sum(len(s) for s in toxicity.sentences_of(toxicity.tokens_of(text))) == 2 + 1 + 2 + 2 + 40 + 1 - 0
+    assert sum(map(len, toxicity.sentences_of([t for t in toxicity.split([text.encode()])[0].as_py() if t]))) == 2 + 1 + 2 + 2 + 40 + 1
 
 
 def test_toxicity_of_held_out_texts(spark):
@@ -606,7 +606,7 @@ def test_toxicity_of_held_out_texts(spark):
         word, at = match[0], rng.randrange(1, len(match[0]))
         return f"{word[:at]}x{word[at:]}"
 
-    assert caught(toxic) > 0.87 and caught([insult.sub(put_in, t) for t in toxic]) > 0.77 and caught(clean) < 0.025
+    assert caught(toxic) > 0.9 and caught([insult.sub(put_in, t) for t in toxic]) > 0.8 and caught(clean) < 0.02
 
 
 def test_staged_tables_go_with_the_process(tmp_path):
