@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, hot_keys, map_arrow, parallelism, salted_join, signed, stage_table
+from .common import binaries, hot_keys, map_arrow, parallelism, salted_join, signed, stage_table, trim, trimmed
 
 BLOCKS = (11, 11, 11, 11, 10, 10)
 LEAF, FAN = 32, 8
@@ -221,7 +221,9 @@ def links(distinct: DataFrame, distance: int = 4, cap: int = 4096) -> DataFrame:
         held = [(b.column("table").to_numpy(), b.column("fp").to_numpy().view(np.uint64)) for b in batches if b.num_rows]
         if held:
             a, b = _local_links(*map(np.concatenate, zip(*held)), distance)
+            del held
             yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(b))], names=["a", "b"])
+            trim()
 
     parts = max(parallelism(distinct.sparkSession), total // 1_000_000)  # what a task holds is bounded
     return keyed.repartition(parts, "key").select("fp", "table").mapInArrow(run, "a long, b long")
@@ -345,7 +347,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle: int = 5, cap: int =
         return pa.table({"a": pa.array(own[a]), "b": pa.array(own[b])})
 
     whole = stage_table(map_arrow(whole, shingles, "own long, shingles array<long>"), "shingles")
-    edges = met.join(whole, "own").select("group", "own", "shingles").groupBy("group").applyInArrow(compare, "a long, b long")
+    edges = met.join(whole, "own").select("group", "own", "shingles").groupBy("group").applyInArrow(trimmed(compare), "a long, b long")
     found = components(edges, "set-links")
     return by_component(rows.select("doc_id", *carry, "own"), sets.select("own", "least_id", "n"), found, "own").select("doc_id", *carry, "root", "component_id")
 

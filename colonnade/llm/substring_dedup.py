@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, distinct, drop_table, from_ipc, packed, parallelism, pow2, ranges, stage_table, to_ipc
+from .common import binaries, distinct, drop_table, from_ipc, packed, parallelism, pow2, ranges, stage_table, to_ipc, trim, trimmed
 
 MULTIPLIER, MIX, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 LETTERS = 0x10FFFF  # of the automaton's alphabet; where words outnumber it, two letters make a word
@@ -193,7 +193,7 @@ def unpack_claims(blob: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(CLAIM.itemsize, -1).T).view(CLAIM).ravel()
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, carry: list[str] | None = None, print_bits: int = 32, part_bytes: int = 8_000_000, range_bytes: int = 8_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, carry: list[str] | None = None, print_bits: int = 32, part_bytes: int = 5_000_000, range_bytes: int = 5_000_000) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, spans (removed [start, end) in words), kept_sha256.
 
     With keep_text also kept_text, the kept words joined by one space, or the text itself where nothing goes; `carry` names further columns to return.
@@ -238,7 +238,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
         return np.where(split[at] > 1, base[at] << (2 * LEVEL), part >> LEVEL << LEVEL)
 
     loose = packed(rows, parts, "doc_id", "_salt")
-    packs = stage_table(loose.groupBy("part").applyInArrow(gather, "part long, rows binary"), "doc-packs")
+    packs = stage_table(loose.groupBy("part").applyInArrow(trimmed(gather), "part long, rows binary"), "doc-packs")
     buckets = max(64, pow2(total / 6_000_000))
     bits, spare = np.uint64(int(np.log2(buckets))), np.uint64(32 - print_bits)
 
@@ -266,6 +266,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
                     [pa.array(full, pa.int32()), pa.array([part] * len(full), pa.int64()), pa.array([low[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary())],
                     names=["bucket", "part", "prints"],
                 )
+        trim()
 
     def confirm(key: tuple, table: pa.Table) -> pa.Table:
         each, numbers = [np.frombuffer(x, np.uint32) for x in table["prints"].to_pylist()], table["part"].to_pylist()
@@ -280,7 +281,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
         held = np.split(value, starts[1:]) if len(own) else []
         return pa.table({"part": pa.array([numbers[own[n]] for n in starts], pa.int64()), "bucket": pa.array([key[0].as_py()] * len(held), pa.int32()), "prints": pa.array([x.tobytes() for x in held], pa.binary())})
 
-    found = packs.mapInArrow(prints, "bucket int, part long, prints binary").groupBy("bucket").applyInArrow(confirm, "part long, bucket int, prints binary")
+    found = packs.mapInArrow(prints, "bucket int, part long, prints binary").groupBy("bucket").applyInArrow(trimmed(confirm), "part long, bucket int, prints binary")
     confirmed = stage_table(found, "confirmed-prints")
 
     def claim(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -303,7 +304,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
         part = left["part"][0].as_py() if left.num_rows else 0
         return pa.table({"part": pa.array([part] * len(blobs), pa.int64()), "bucket": pa.array(buckets_, pa.int32()), "data": pa.array(blobs, pa.binary()), "size": pa.array(sizes, pa.int64())})
 
-    claimed = packs.groupBy("part").cogroup(confirmed.groupBy("part")).applyInArrow(claim, "part long, bucket int, data binary, size long")
+    claimed = packs.groupBy("part").cogroup(confirmed.groupBy("part")).applyInArrow(trimmed(claim), "part long, bucket int, data binary, size long")
     claims = stage_table(claimed, "claims")
     drop_table(confirmed)
 
@@ -330,7 +331,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
         pieces = lambda x: pa.array([p.tobytes() for p in np.split(x, cuts[1:])] if len(cuts) else [], pa.binary())
         return pa.table({"part": pa.array(own_source[cuts], pa.int64()), "targets": pieces(target), "at": pieces(at)})
 
-    chained = stage_table(claims.where("bucket >= 0").groupBy("bucket").applyInArrow(chain, "part long, targets binary, at binary"), "chains")
+    chained = stage_table(claims.where("bucket >= 0").groupBy("bucket").applyInArrow(trimmed(chain), "part long, targets binary, at binary"), "chains")
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         """The passages a part hands on, by target."""
@@ -349,7 +350,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
                 out[int(to[some[0]])] = b"\n".join(b" ".join(words[a:b]) for a, b, _ in _runs(mine, line[mine], window))
         return pa.table({"part": pa.array(list(out), pa.int64()), "passages": pa.array([pa.compress(x, "zstd", asbytes=True) for x in out.values()], pa.binary()), "size": pa.array([len(x) for x in out.values()], pa.int64())})
 
-    cuts = claims.where("bucket < 0").groupBy("part").cogroup(chained.groupBy("part")).applyInArrow(cut, "part long, passages binary, size long")
+    cuts = claims.where("bucket < 0").groupBy("part").cogroup(chained.groupBy("part")).applyInArrow(trimmed(cut), "part long, passages binary, size long")
     passages = stage_table(cuts, "passages")
     drop_table(claims)
     drop_table(chained)
@@ -425,4 +426,4 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
             columns[c] = table[c].combine_chunks()
         return pa.Table.from_arrays([columns[f.name].cast(f.type) if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type) for f in target_schema], schema=target_schema)
 
-    return packs.groupBy("part").cogroup(passages.groupBy("part")).applyInArrow(locate, schema)
+    return packs.groupBy("part").cogroup(passages.groupBy("part")).applyInArrow(trimmed(locate), schema)
